@@ -3,6 +3,7 @@
 from ferryline.operators.changes import (
     after_text,
     expand_struct,
+    keep_fields,
     payload_text,
     unwrap_after,
     unwrap_after_three_step,
@@ -10,13 +11,16 @@ from ferryline.operators.changes import (
 )
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
+from ferryline.operators.partitioning import ensure_parallelism
 from ferryline.operators.typed import Route, typed_select
 
 __all__ = [
     "Route",
     "after_text",
     "decode_messages",
+    "ensure_parallelism",
     "expand_struct",
+    "keep_fields",
     "keyed_messages",
     "payload_text",
     "split_fields",

@@ -35,6 +35,20 @@ def expand_struct(df: DataFrame, struct_col: str = "data") -> DataFrame:
     return df.select(f"{struct_col}.*")
 
 
+def keep_fields(schema: T.StructType, names) -> T.StructType:
+    """The schema narrowed to ``names`` (schema order kept).
+
+    The optimizer does not prune a nested ``from_json`` schema, so a job
+    that needs few fields passes the narrowed schema itself; values of the
+    kept fields are unchanged (PERMISSIVE parsing skips unknown fields).
+    """
+    wanted = set(names)
+    missing = wanted - set(schema.fieldNames())
+    if missing:
+        raise ValueError(f"fields not in schema: {sorted(missing)}")
+    return T.StructType([f for f in schema.fields if f.name in wanted])
+
+
 def unwrap_after(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """Envelope -> the fields of ``payload.after`` in one JSON parse.
 

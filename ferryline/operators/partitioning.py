@@ -1,0 +1,20 @@
+"""Parallelism floor for batch inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
+    default parallelism) only when it has fewer partitions than that.
+
+    A big input already arrives in many splits, so this is a no-op at
+    scale; it matters for a small file with a single row group feeding
+    CPU-heavy per-row work (JSON building/parsing, splitting), which would
+    otherwise run as one task. Batch DataFrames only.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

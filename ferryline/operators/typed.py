@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferryline.functions.casts import cast_as
 
@@ -27,5 +28,12 @@ class Route:
         return typed_select(df, self.columns)
 
 
+def route_records(changes: DataFrame, route: Route, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Change envelopes -> one typed route, parsing only the route's fields."""
+    from ferryline.operators.changes import keep_fields, unwrap_after
+
+    return route.apply(unwrap_after(changes, keep_fields(schema, route.fields), value_col))
+
+
 def typed_select(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     return df.select(*[cast_as(F.col(name), t).alias(name) for name, t in columns])

@@ -30,7 +30,8 @@ from ferryline.operators.changes import (
 )
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import split_fields
-from ferryline.operators.typed import Route, typed_select
+from ferryline.operators.partitioning import ensure_parallelism
+from ferryline.operators.typed import route_records
 from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, envelope
 from ferryline.plans.jobs import (
     DEFAULT_ROUTES,
@@ -63,7 +64,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, spread over the cluster when it is a single small split."""
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _await(query) -> None:
@@ -271,11 +273,13 @@ def lenient_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_quantitative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_select(cdc_unwrap(spark, sf_dir), QUANTITATIVE_ROUTE)
+    changes = accident_changes(table(spark, sf_dir, "lineitem"))
+    return route_records(changes, DEFAULT_ROUTES[0], CHANGE_SCHEMA)
 
 
 def route_qualitative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_select(cdc_unwrap(spark, sf_dir), QUALITATIVE_ROUTE)
+    changes = accident_changes(table(spark, sf_dir, "lineitem"))
+    return route_records(changes, DEFAULT_ROUTES[1], CHANGE_SCHEMA)
 
 
 # -------------------------------------------------------------- streaming

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ferryline.config import TopicConfig
-from ferryline.operators.changes import unwrap_after
+from ferryline.operators.changes import keep_fields, unwrap_after
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.typed import Route
@@ -82,6 +82,10 @@ def route_changes(
     schema: T.StructType = CHANGE_SCHEMA,
     trigger: dict | None = None,
 ) -> StreamingQuery:
+    """Unwrap each micro-batch once, parsing only the fields the routes
+    use, and write every route from that one parse."""
+    used = {f for route, _ in sinks for f in route.fields}
+    parse_schema = keep_fields(schema, [f for f in schema.fieldNames() if f in used])
     return start_stream(
-        change_records(read_topic_stream(spark, source), schema), fan_out(sinks), checkpoint, trigger
+        change_records(read_topic_stream(spark, source), parse_schema), fan_out(sinks), checkpoint, trigger
     )
