@@ -12,7 +12,7 @@ from ferryline.operators.changes import (
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.partitioning import ensure_parallelism
-from ferryline.operators.typed import Route, typed_select
+from ferryline.operators.typed import Route, route_records, typed_select
 
 __all__ = [
     "Route",
@@ -23,6 +23,7 @@ __all__ = [
     "keep_fields",
     "keyed_messages",
     "payload_text",
+    "route_records",
     "split_fields",
     "typed_select",
     "unwrap_after",

@@ -84,6 +84,10 @@ QUANTITATIVE_ROUTE: tuple[tuple[str, str], ...] = (
     ("broad_phase_of_flight", "string"),
 )
 
+# Older variant of the quantitative route that also carried report_status
+# (NULL for every change from the 30-column ingest table).
+QUANTITATIVE_ROUTE_WITH_STATUS: tuple[tuple[str, str], ...] = QUANTITATIVE_ROUTE + (("report_status", "string"),)
+
 QUALITATIVE_ROUTE: tuple[tuple[str, str], ...] = (
     ("event_date", "timestamp"),
     ("investigation_type", "string"),

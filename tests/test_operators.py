@@ -123,3 +123,11 @@ def test_routes_types_and_order(spark):
     assert row.weather_condition == "1" and row.broad_phase_of_flight == "VMC"
     ql = Route("qualitative_table", QUALITATIVE_ROUTE).apply(rec)
     assert len(ql.columns) == 16 and ql.first().number_of_engines == 1
+
+
+def test_route_with_report_status_is_null_from_ingest_table(spark):
+    from ferryline.schemas import QUANTITATIVE_ROUTE_WITH_STATUS
+
+    df = spark.createDataFrame([(_env({"event_id": "1", "event_date": "2001-02-03"}),)], "value string")
+    row = typed_select(unwrap_after(df, CHANGE_SCHEMA), QUANTITATIVE_ROUTE_WITH_STATUS).first()
+    assert len(row) == 15 and row.report_status is None
