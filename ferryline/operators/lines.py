@@ -40,14 +40,16 @@ def split_fields(
     names: Sequence[str],
     line_col: str = "value",
     sep: str = ",",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Positional projection: field *i* of the split line becomes ``names[i]``.
 
     The line is split once into an array and every name reads one ordinal,
     so extra fields drop off the end and missing ones are NULL. No quote
-    handling: a comma inside quotes shifts the later fields.
+    handling: a comma inside quotes shifts the later fields. Columns in
+    ``keep`` are carried through in front.
     """
     arr = "__fields"
-    return df.select(split_fields_array(F.col(line_col), sep).alias(arr)).select(
-        *[field_at(arr, i).alias(name) for i, name in enumerate(names)]
+    return df.select(*keep, split_fields_array(F.col(line_col), sep).alias(arr)).select(
+        *keep, *[field_at(arr, i).alias(name) for i, name in enumerate(names)]
     )

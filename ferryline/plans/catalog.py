@@ -29,7 +29,7 @@ from ferryline.operators.changes import (
     with_parsed,
 )
 from ferryline.operators.decode import decode_messages
-from ferryline.operators.lines import split_fields
+from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.partitioning import ensure_parallelism
 from ferryline.operators.typed import route_records
 from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, envelope
@@ -102,6 +102,13 @@ def publish_keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(read_topic(spark, topic))
 
 
+def publish_pinned_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original single-partition mode: every message in partition 1."""
+    topic = TopicConfig(LINE_TOPIC, path=fresh_dir(spark, "topic-pinned"))
+    publish_lines(spark, _accident_csv(spark, sf_dir), topic, partition=1)
+    return decode_messages(read_topic(spark, topic), keep=("topic", "partition"))
+
+
 def kafka_row_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     messages = events.select(
@@ -136,6 +143,17 @@ def split_missing_tail_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_fields(orders.select(line.alias("value")), ("o_orderkey", "o_custkey", "o_orderstatus", "extra_field"))
 
 
+def split_blank_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blank message (orders in status P) still becomes a row: key '',
+    first field '' and NULL for every later field."""
+    orders = table(spark, sf_dir, "orders")
+    line = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
+        F.concat_ws(",", _s("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority"))
+    )
+    msgs = keyed_messages(orders.select(line.alias("value")), LINE_TOPIC)
+    return split_fields(msgs, ("o_orderkey", "o_orderstatus", "o_orderpriority"), keep=("key",))
+
+
 def split_embedded_comma_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     k, nk, bal = _s("c_custkey"), _s("c_nationkey"), _dec("c_acctbal")
@@ -368,10 +386,12 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "raw_line_scan": raw_line_scan,
     "publish_keyed_lines": publish_keyed_lines,
+    "publish_pinned_partition": publish_pinned_partition,
     "kafka_row_decode": kafka_row_decode,
     "split_positional_projection": split_positional_projection,
     "split_projection_32": split_projection_32,
     "split_missing_tail_null": split_missing_tail_null,
+    "split_blank_line": split_blank_line,
     "split_embedded_comma_shift": split_embedded_comma_shift,
     "json_path_extract": json_path_extract,
     "cdc_payload_after": cdc_payload_after,
@@ -468,6 +488,10 @@ ORACLES: dict[str, str] = {
         f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic "
         f"FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
     ),
+    "publish_pinned_partition": (
+        f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic, "
+        f"1 AS partition FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
+    ),
     "kafka_row_decode": (
         "SELECT CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS key, "
         "props AS value, 'events' AS topic FROM events"
@@ -479,6 +503,12 @@ ORACLES: dict[str, str] = {
         "CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderstatus END AS o_orderstatus, "
         "CASE WHEN o_orderkey % 3 = 2 THEN '' END AS extra_field FROM orders"
     ),
+    "split_blank_line": (
+        "SELECT CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS key, "
+        "CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS o_orderkey, "
+        "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"
+    ),
     "split_embedded_comma_shift": (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, "
         "CASE WHEN c_custkey % 4 = 1 THEN CAST(c_nationkey AS VARCHAR) ELSE c_name END AS c_name, "
