@@ -9,7 +9,6 @@ tombstone (NULL value) or a value that is not JSON becomes one all-NULL row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.json import json_path, parse_json
