@@ -180,7 +180,7 @@ def json_path_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_after(events: DataFrame):
+def _event_after():
     return F.struct(
         _s("event_id").alias("event_id"),
         F.col("event_type"),
@@ -193,7 +193,7 @@ def _event_after(events: DataFrame):
 def cdc_payload_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     is_delete = F.col("event_type") == "error"
-    value = envelope(F.when(~is_delete, _event_after(events)), F.when(is_delete, "d").otherwise("c"))
+    value = envelope(F.when(~is_delete, _event_after()), F.when(is_delete, "d").otherwise("c"))
     return after_text(payload_text(events.select(value.alias("value"))))
 
 
