@@ -52,6 +52,8 @@ def main(argv=None) -> None:
     p.add_argument("--servers", help="Kafka bootstrap servers; omit for file-backed topics")
     p.add_argument("--topic")
     p.add_argument("--partition", type=int, help="publish: pin every message to one partition")
+    p.add_argument("--keep-blank-lines", action="store_true", help="publish: send blank lines as empty messages")
+    p.add_argument("--header-line", help="publish: header text to drop when keeping blank lines")
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--max-files-per-trigger", type=int)
@@ -70,7 +72,14 @@ def main(argv=None) -> None:
     if args.job == "publish":
         if not args.lines:
             p.error("publish needs --lines")
-        publish_lines(spark, args.lines, _topic(args, LINE_TOPIC, root), partition=args.partition)
+        publish_lines(
+            spark,
+            args.lines,
+            _topic(args, LINE_TOPIC, root),
+            partition=args.partition,
+            keep_blank_lines=args.keep_blank_lines,
+            header_line=args.header_line,
+        )
         return
     if args.job == "ingest":
         query = ingest_lines(

@@ -7,10 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 _NO_SPLIT = "\u0001"
 
 
-def raw_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+def raw_lines(
+    spark: SparkSession,
+    path: str,
+    header: bool = True,
+    keep_blank_lines: bool = False,
+    header_line: str | None = None,
+) -> DataFrame:
     """Each line of the file(s) as one ``value`` string, first line of every
     file dropped when ``header``.
 
+    ``keep_blank_lines=True`` keeps empty lines as empty values (each then
+    becomes a message with an empty key and value). It reads with the text
+    source and drops the header by content, so it needs ``header_line``;
+    a data line equal to the header would be dropped too.
+
     The CSV reader is used only for its per-file header handling and its
     split-friendly line reader: with a separator that does not occur in the
     data and quoting switched off, a line is one field with quotes,
@@ -18,6 +29,13 @@ def raw_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     cut into splits by ``spark.sql.files.maxPartitionBytes``, so a large
     file is read by many tasks.
     """
+    if keep_blank_lines:
+        lines = spark.read.text(path)
+        if not header:
+            return lines
+        if header_line is None:
+            raise ValueError("keep_blank_lines with a header needs header_line")
+        return lines.where(lines.value != header_line)
     return (
         spark.read.schema("value string")
         .option("header", header)

@@ -104,3 +104,13 @@ def test_preview_is_bounded(spark):
 def test_shared_root_reads_session(spark):
     root = shared_root(spark)
     assert root and fresh_dir(spark, "a") != fresh_dir(spark, "a")
+
+
+def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
+    with open(os.path.join(tmp_root, "f.csv"), "w", newline="") as f:
+        f.write("H1,H2\r\na,b\r\n\r\nc,d\r\n")
+    assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["a,b", "c,d"]
+    kept = raw_lines(spark, tmp_root, keep_blank_lines=True, header_line="H1,H2").collect()
+    assert sorted(r.value for r in kept) == ["", "a,b", "c,d"]
+    with pytest.raises(ValueError):
+        raw_lines(spark, tmp_root, keep_blank_lines=True)
