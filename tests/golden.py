@@ -1,4 +1,4 @@
-"""Five accident CSV rows and the 30 fields the line pipeline stores for
+"""Seven accident CSV rows and the 30 fields the line pipeline stores for
 each (quotes deleted, split on every comma, first 30 fields kept)."""
 
 LINES = [
@@ -7,6 +7,8 @@ LINES = [
     "20020917X02410,Accident,MIA82FKA05,1982-01-04,SAINT CROIX,,,,STX,ALEXANDER HAMILTON,Fatal(1),Destroyed,Airplane,N5151U,Cessna,206,No,1,Reciprocating,Part 91: General Aviation,,Business,,1,0,1,0,VMC,Taxi,Probable Cause,04-01-1983",
     '20020917X02141,Accident,FTW82FRG20,1982-01-07,"LAREDO, TX",United States,,,LRD,LAREDO INTL,Non-Fatal,Substantial,Airplane,N1698M,Curtis,C46,No,2,Reciprocating,"Part 125: 20+ Pax,6000+ lbs",NSCH,Unknown,,0,0,0,3,VMC,Standing,Probable Cause,07-01-1983',
     "20020917X01897,Incident,CHI82IA026,1982-01-12,\"CHICAGO, IL\",United States,,,ORD,CHICAGO O'HARE INTER'L,Incident,,Airplane,N31031,Lockheed,L-1011,No,3,Turbo Fan,Part 121: Air Carrier,SCHD,Unknown,Trans World Airlines,0,0,0,149,UNK,Cruise,Probable Cause,12-01-1983",
+    '20020917X01907,Accident,DCA82AA011,1982-01-13,"WASHINGTON, DC",United States,,,,WASHINGTON NATIONAL,Fatal(78),Destroyed,,N62AF,Boeing,737-222,No,2,Turbo Fan,,SCHD,Unknown,"Air Florida, Inc",78,6,3,0,IMC,Takeoff,Probable Cause,13-01-1983',
+    '20020917X01625,Accident,ANC82DA015,1982-01-15,"NEAR NUIQSUT, AK",United States,,,,,Non-Fatal,Substantial,Airplane,N1459T,De Havilland,DHC-2-MK3,No,1,Turbo Prop,Part 135: Air Taxi & Commuter,NSCH,Unknown,"Sea Airmotive, Inc.",0,0,0,4,VMC,Landing,Probable Cause,15-01-1983',
 ]
 
 EXPECTED = [
@@ -15,6 +17,8 @@ EXPECTED = [
     ("20020917X02410", "Accident", "MIA82FKA05", "1982-01-04", "SAINT CROIX", "", "", "", "STX", "ALEXANDER HAMILTON", "Fatal(1)", "Destroyed", "Airplane", "N5151U", "Cessna", "206", "No", "1", "Reciprocating", "Part 91: General Aviation", "", "Business", "", "1", "0", "1", "0", "VMC", "Taxi", "Probable Cause"),
     ("20020917X02141", "Accident", "FTW82FRG20", "1982-01-07", "LAREDO", " TX", "United States", "", "", "LRD", "LAREDO INTL", "Non-Fatal", "Substantial", "Airplane", "N1698M", "Curtis", "C46", "No", "2", "Reciprocating", "Part 125: 20+ Pax", "6000+ lbs", "NSCH", "Unknown", "", "0", "0", "0", "3", "VMC"),
     ("20020917X01897", "Incident", "CHI82IA026", "1982-01-12", "CHICAGO", " IL", "United States", "", "", "ORD", "CHICAGO O'HARE INTER'L", "Incident", "", "Airplane", "N31031", "Lockheed", "L-1011", "No", "3", "Turbo Fan", "Part 121: Air Carrier", "SCHD", "Unknown", "Trans World Airlines", "0", "0", "0", "149", "UNK", "Cruise"),
+    ("20020917X01907", "Accident", "DCA82AA011", "1982-01-13", "WASHINGTON", " DC", "United States", "", "", "", "WASHINGTON NATIONAL", "Fatal(78)", "Destroyed", "", "N62AF", "Boeing", "737-222", "No", "2", "Turbo Fan", "", "SCHD", "Unknown", "Air Florida", " Inc", "78", "6", "3", "0", "IMC"),
+    ("20020917X01625", "Accident", "ANC82DA015", "1982-01-15", "NEAR NUIQSUT", " AK", "United States", "", "", "", "", "Non-Fatal", "Substantial", "Airplane", "N1459T", "De Havilland", "DHC-2-MK3", "No", "1", "Turbo Prop", "Part 135: Air Taxi & Commuter", "NSCH", "Unknown", "Sea Airmotive", " Inc.", "0", "0", "0", "4", "VMC"),
 ]
 
 KEYS = [line.split(",")[0] for line in LINES]

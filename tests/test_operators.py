@@ -131,3 +131,13 @@ def test_route_with_report_status_is_null_from_ingest_table(spark):
     df = spark.createDataFrame([(_env({"event_id": "1", "event_date": "2001-02-03"}),)], "value string")
     row = typed_select(unwrap_after(df, CHANGE_SCHEMA), QUANTITATIVE_ROUTE_WITH_STATUS).first()
     assert len(row) == 15 and row.report_status is None
+
+
+def test_golden_routes_sums_follow_shifted_fields(spark):
+    # reference semantics: shifted text ('In', 'Inc', 'Inc.') casts to NULL
+    msgs = keyed_messages(lines_df(spark, LINES), "t")
+    rec = split_fields(msgs, INGEST_FIELDS)
+    rows = typed_select(rec, QUANTITATIVE_ROUTE).collect()
+    fatal = [r.total_fatal_injuries for r in rows]
+    assert fatal == [2, None, 0, None, 0, None, None]
+    assert sum(r.total_uninjured or 0 for r in rows) == 0 + 1 + 0 + 3 + 149 + 0 + 4
