@@ -32,7 +32,7 @@ from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.partitioning import ensure_parallelism
 from ferryline.operators.typed import route_records
-from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, envelope
+from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, change_ops, envelope
 from ferryline.plans.jobs import (
     DEFAULT_ROUTES,
     change_records,
@@ -342,8 +342,7 @@ ORDER_CHANGE_FIELDS = ("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 def append_keeps_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    ops = F.filter(F.array(F.lit("c"), F.lit("u")), lambda op: (op == "c") | (F.col("o_orderstatus") == "F"))
-    rows = orders.withColumn("op", F.explode(ops))
+    rows = orders.withColumn("op", F.explode(change_ops(F.col("o_orderstatus") == "F")))
     after = F.struct(
         _s("o_orderkey").alias("o_orderkey"),
         F.col("o_orderstatus"),

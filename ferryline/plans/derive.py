@@ -127,6 +127,19 @@ def envelope(after: Column, op: Column, before: Column | None = None, ts_ms: Col
     return F.to_json(F.struct(payload.alias("payload")), {"ignoreNullFields": "false"})
 
 
+def change_ops(updated: Column, deleted: Column | None = None) -> Column:
+    """The change operations one source row emits, in order: always 'c',
+    then 'u' where ``updated`` holds and 'd' where ``deleted`` holds.
+
+    Built from ``concat_ws`` (which skips NULLs) and ``split`` rather than
+    a lambda ``filter``, so the explode stays inside whole-stage codegen.
+    """
+    parts = [F.lit("c"), F.when(updated, F.lit("u"))]
+    if deleted is not None:
+        parts.append(F.when(deleted, F.lit("d")))
+    return F.split(F.concat_ws(",", *parts), ",")
+
+
 def accident_records(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """What the ingest job stores: the 30 named text fields of each line
     (quotes deleted, split on every comma), plus the ``keep`` columns."""
@@ -144,11 +157,9 @@ def accident_changes(lineitem: DataFrame) -> DataFrame:
     (the event id) and ``value`` (the envelope).
     """
     rows = accident_records(lineitem, keep=("l_returnflag", "l_linestatus", "l_linenumber"))
-    ops = F.filter(
-        F.array(F.lit("c"), F.lit("u"), F.lit("d")),
-        lambda op: (op == "c")
-        | ((op == "u") & (F.col("l_returnflag") == "R"))
-        | ((op == "d") & (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7)),
+    ops = change_ops(
+        F.col("l_returnflag") == "R",
+        (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7),
     )
     rows = rows.withColumn("op", F.explode(ops))
     row = F.struct(*[F.col(n) for n in INGEST_FIELDS])

@@ -1,8 +1,11 @@
 """Where jobs put topics, tables and streaming checkpoints.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names.
-Only when the session has none (a laptop or a test) do we make one and
-register it as the checkpoint directory.
+On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
+(or a checkpoint directory already set on the context). Only a local-mode
+session (a laptop or a test) without one gets a folder made here, which is
+then registered as its checkpoint directory. A cluster session without a
+shared folder is an error: a machine-local folder would be invisible to
+the executors and lost with the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +16,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -20,6 +27,11 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: give the session a folder every "
+                "executor can reach (HDFS, S3, ...) for topics, tables and checkpoints"
+            )
         root = tempfile.mkdtemp(prefix="ferryline-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -106,6 +106,40 @@ def test_shared_root_reads_session(spark):
     assert root and fresh_dir(spark, "a") != fresh_dir(spark, "a")
 
 
+class _Conf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+class _Context:
+    def __init__(self, master, conf):
+        self.master, self._conf, self.registered = master, _Conf(conf), None
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self.registered
+
+    def setCheckpointDir(self, path):
+        self.registered = path
+
+
+class _Session:
+    def __init__(self, master, conf=None):
+        self.conf = _Conf(conf or {})
+        self.sparkContext = _Context(master, conf or {})
+
+
+def test_shared_root_on_a_cluster_needs_checkpoint_dir():
+    assert shared_root(_Session("yarn", {"spark.checkpoint.dir": "hdfs://nn/ck/"})) == "hdfs://nn/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(_Session("spark://master:7077"))
+    local = _Session("local[2]")
+    root = shared_root(local)
+    assert os.path.isdir(root) and local.sparkContext.registered == root
+
+
 def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
     with open(os.path.join(tmp_root, "f.csv"), "w", newline="") as f:
         f.write("H1,H2\r\na,b\r\n\r\nc,d\r\n")
