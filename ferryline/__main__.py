@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import argparse
 
-from ferryline.config import JdbcConfig, TopicConfig
+from ferryline.config import JdbcConfig, TopicConfig, sized_to_cluster
 from ferryline.plans.jobs import DEFAULT_ROUTES, ingest_lines, publish_lines, route_changes
 from ferryline.schemas import CHANGE_TOPIC, INGEST_TABLE, LINE_TOPIC
 from ferryline.session import build_session
@@ -55,9 +55,9 @@ def main(argv=None) -> None:
     p.add_argument("--keep-blank-lines", action="store_true", help="publish: send blank lines as empty messages")
     p.add_argument("--header-line", help="publish: header text to drop when keeping blank lines")
     p.add_argument("--starting-offsets", default="earliest")
-    p.add_argument("--max-offsets-per-trigger", type=int)
-    p.add_argument("--max-files-per-trigger", type=int)
-    p.add_argument("--min-partitions", type=int)
+    p.add_argument("--max-offsets-per-trigger", type=int, help="default: 1,000,000 per core")
+    p.add_argument("--max-files-per-trigger", type=int, help="default: 4 per core")
+    p.add_argument("--min-partitions", type=int, help="default: the core count")
     p.add_argument("--jdbc-conf", help="Spark conf prefix holding the JDBC url/user/password/driver")
     p.add_argument("--table-root", help="folder for file tables when no JDBC sink is given")
     p.add_argument("--checkpoint")
@@ -81,13 +81,14 @@ def main(argv=None) -> None:
             header_line=args.header_line,
         )
         return
+    cores = spark.sparkContext.defaultParallelism
     if args.job == "ingest":
-        query = ingest_lines(
-            spark, _topic(args, LINE_TOPIC, root), _sink(spark, args, INGEST_TABLE, root), checkpoint, trigger=trigger
-        )
+        source = sized_to_cluster(_topic(args, LINE_TOPIC, root), cores)
+        query = ingest_lines(spark, source, _sink(spark, args, INGEST_TABLE, root), checkpoint, trigger=trigger)
     else:
         sinks = [(r, _sink(spark, args, r.name, root)) for r in DEFAULT_ROUTES]
-        query = route_changes(spark, _topic(args, CHANGE_TOPIC, root), sinks, checkpoint, trigger=trigger)
+        source = sized_to_cluster(_topic(args, CHANGE_TOPIC, root), cores)
+        query = route_changes(spark, source, sinks, checkpoint, trigger=trigger)
     query.awaitTermination()
 
 

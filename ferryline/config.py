@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +32,29 @@ class TopicConfig:
         return self.servers is not None
 
 
+# Per-core budget of one streaming micro-batch when the caller sets none.
+# One batch then keeps every core busy for a few seconds of parsing, and
+# what ``fan_out`` persists grows with the cluster, not with the topic.
+MESSAGES_PER_CORE_PER_BATCH = 1_000_000
+FILES_PER_CORE_PER_BATCH = 4
+
+
+def sized_to_cluster(cfg: TopicConfig, cores: int) -> TopicConfig:
+    """``cfg`` with unset rate limits and read parallelism sized to ``cores``.
+
+    Without a rate limit the first micro-batch takes the whole topic.
+    ``minPartitions`` at least ``cores`` makes the Kafka source cut large
+    offset ranges into several tasks, so a partition holding a hot key's
+    messages is read by many tasks rather than one.
+    """
+    return replace(
+        cfg,
+        max_offsets_per_trigger=cfg.max_offsets_per_trigger or cores * MESSAGES_PER_CORE_PER_BATCH,
+        max_files_per_trigger=cfg.max_files_per_trigger or cores * FILES_PER_CORE_PER_BATCH,
+        min_partitions=cfg.min_partitions or cores,
+    )
+
+
 @dataclass(frozen=True)
 class JdbcConfig:
     """JDBC connection. Credentials come from the caller (or Spark conf via

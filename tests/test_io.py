@@ -148,3 +148,14 @@ def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
     assert sorted(r.value for r in kept) == ["", "a,b", "c,d"]
     with pytest.raises(ValueError):
         raw_lines(spark, tmp_root, keep_blank_lines=True)
+
+
+def test_rate_limits_sized_to_cluster():
+    from ferryline.config import sized_to_cluster
+
+    cfg = sized_to_cluster(TopicConfig("t", servers="b:9092"), cores=16)
+    opts = kafka_source_options(cfg)
+    assert opts["maxOffsetsPerTrigger"] == "16000000" and opts["minPartitions"] == "16"
+    assert cfg.max_files_per_trigger == 64
+    kept = sized_to_cluster(TopicConfig("t", max_offsets_per_trigger=5, min_partitions=2, max_files_per_trigger=1), 16)
+    assert (kept.max_offsets_per_trigger, kept.min_partitions, kept.max_files_per_trigger) == (5, 2, 1)
