@@ -1,0 +1,85 @@
+"""A write task lost mid-way (as when its executor dies) is retried and the
+table still holds every change exactly once.
+
+Local mode retries a task only with ``local[N,maxFailures]``, so the job
+runs in its own process with its own session.
+"""
+
+import json
+import os
+import subprocess
+import sys
+import textwrap
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+SCRIPT = textwrap.dedent(
+    """
+    import json, sys
+    sys.path.insert(0, sys.argv[1])
+    from pyspark import TaskContext
+    from pyspark.sql import SparkSession
+    from ferryline.config import TopicConfig
+    from ferryline.operators import Route
+    from ferryline.plans.jobs import route_changes
+    from ferryline.sinks import FileTableSink, write_topic
+    from ferryline.workspace import fresh_dir
+
+    spark = (SparkSession.builder.master("local[4,3]")
+             .config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4")
+             .getOrCreate())
+    spark.sparkContext.setLogLevel("OFF")
+    spark.sparkContext.setCheckpointDir(sys.argv[2])
+    MARKER = sys.argv[3]
+
+    def env(i):
+        return json.dumps({"payload": {"after": {"event_id": str(i), "make": "M%d" % (i % 7)}, "op": "c"}})
+
+    topic = TopicConfig("c", path=fresh_dir(spark, "topic"))
+    msgs = spark.createDataFrame([(str(i), env(i)) for i in range(400)], "key string, value string")
+    write_topic(msgs.repartition(4), topic)
+
+    def lose_first_attempt(batches):
+        ctx = TaskContext.get()
+        for pdf in batches:
+            yield pdf
+        if ctx.partitionId() == 0 and ctx.attemptNumber() == 0:
+            open(MARKER, "a").close()  # test marker: the failure did happen
+            raise RuntimeError("executor lost after writing part of its output")
+
+    class FlakySink:
+        def __init__(self, target):
+            self.target = target
+
+        def write(self, df, batch_id=None):
+            self.target.write(df.mapInPandas(lose_first_attempt, df.schema), batch_id)
+
+    a, b = FileTableSink(fresh_dir(spark, "a")), FileTableSink(fresh_dir(spark, "b"))
+    routes = [(Route("a", (("event_id", "string"),)), FlakySink(a)),
+              (Route("b", (("event_id", "string"), ("make", "string"))), b)]
+    q = route_changes(spark, topic, routes, fresh_dir(spark, "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    out = {}
+    for name, sink in (("a", a), ("b", b)):
+        df = sink.read(spark)
+        out[name] = [df.count(), df.distinct().count()]
+    print("RESULT " + json.dumps(out))
+    spark.stop()
+    """
+)
+
+
+def test_lost_write_task_is_retried_without_duplicates(tmp_path):
+    script = tmp_path / "job.py"
+    script.write_text(SCRIPT)
+    proc = subprocess.run(
+        [sys.executable, str(script), REPO, str(tmp_path / "shared"), str(tmp_path / "failed-once")],
+        capture_output=True,
+        text=True,
+        timeout=600,
+    )
+    lines = [ln for ln in proc.stdout.splitlines() if ln.startswith("RESULT ")]
+    assert proc.returncode == 0 and lines, proc.stderr[-3000:]
+    assert (tmp_path / "failed-once").exists()
+    assert json.loads(lines[-1][len("RESULT "):]) == {"a": [400, 400], "b": [400, 400]}
