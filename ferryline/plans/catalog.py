@@ -31,7 +31,7 @@ from ferryline.operators.changes import (
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.partitioning import ensure_parallelism
-from ferryline.operators.typed import route_records
+from ferryline.operators.typed import Route, route_records
 from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, change_ops, envelope
 from ferryline.plans.jobs import (
     DEFAULT_ROUTES,
@@ -50,6 +50,8 @@ from ferryline.schemas import (
     LINE_TOPIC,
     QUALITATIVE_ROUTE,
     QUANTITATIVE_ROUTE,
+    QUANTITATIVE_ROUTE_WITH_STATUS,
+    QUANTITATIVE_TABLE,
     string_struct,
 )
 from ferryline.sinks.tables import FileTableSink
@@ -300,6 +302,14 @@ def route_qualitative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_records(changes, DEFAULT_ROUTES[1], CHANGE_SCHEMA)
 
 
+def route_quantitative_with_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older quantitative route that also carried report_status: the
+    field is in the parse schema but not in the ingested table, so it is
+    always NULL."""
+    changes = accident_changes(table(spark, sf_dir, "lineitem"))
+    return route_records(changes, Route(QUANTITATIVE_TABLE, QUANTITATIVE_ROUTE_WITH_STATUS), CHANGE_SCHEMA)
+
+
 # -------------------------------------------------------------- streaming
 
 
@@ -403,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "lenient_cast_timestamp": lenient_cast_timestamp,
     "route_quantitative": route_quantitative,
     "route_qualitative": route_qualitative,
+    "route_quantitative_with_status": route_quantitative_with_status,
     "stream_ingest_lines": stream_ingest_lines,
     "stream_cdc_route": stream_cdc_route,
     "fanout_two_sinks": fanout_two_sinks,
@@ -558,6 +569,9 @@ ORACLES: dict[str, str] = {
     ),
     "route_quantitative": f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE)} FROM changes",
     "route_qualitative": f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUALITATIVE_ROUTE)} FROM changes",
+    "route_quantitative_with_status": (
+        f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE_WITH_STATUS)} FROM changes"
+    ),
     "stream_ingest_lines": f"SELECT {_split_select(INGEST_FIELDS)} FROM {_STRIPPED_SPLIT}",
     "stream_cdc_route": f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE)} FROM changes",
     "fanout_two_sinks": f"WITH {_CHANGES_CTE} {_ROUTE_UNION}",
