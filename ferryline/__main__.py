@@ -61,6 +61,12 @@ def main(argv=None) -> None:
     p.add_argument("--jdbc-conf", help="Spark conf prefix holding the JDBC url/user/password/driver")
     p.add_argument("--table-root", help="folder for file tables when no JDBC sink is given")
     p.add_argument("--checkpoint")
+    p.add_argument(
+        "--cache-batches",
+        action="store_true",
+        help="route: share each batch between sinks through an executor cache instead of a staged "
+        "table in the shared folder (the default)",
+    )
     p.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     args = p.parse_args(argv)
 
@@ -88,7 +94,9 @@ def main(argv=None) -> None:
     else:
         sinks = [(r, _sink(spark, args, r.name, root)) for r in DEFAULT_ROUTES]
         source = sized_to_cluster(_topic(args, CHANGE_TOPIC, root), cores)
-        query = route_changes(spark, source, sinks, checkpoint, trigger=trigger)
+        # one staging folder per query, next to its checkpoint
+        stage_dir = None if args.cache_batches else f"{checkpoint.rstrip('/')}-staging"
+        query = route_changes(spark, source, sinks, checkpoint, trigger=trigger, stage_dir=stage_dir)
     query.awaitTermination()
 
 

@@ -331,6 +331,7 @@ def _run_route(spark: SparkSession, sf_dir: str) -> dict[str, FileTableSink]:
         [(r, sinks[r.name]) for r in DEFAULT_ROUTES],
         fresh_dir(spark, "ckpt-route"),
         trigger={"availableNow": True},
+        stage_dir=fresh_dir(spark, "stage-route"),
     )
     _await(query)
     return sinks

@@ -86,11 +86,16 @@ def route_changes(
     schema: T.StructType = CHANGE_SCHEMA,
     trigger: dict | None = None,
     persist: bool = True,
+    stage_dir: str | None = None,
 ) -> StreamingQuery:
     """Unwrap each micro-batch once, parsing only the fields the routes
-    use, and write every route from that one parse."""
+    use, and write every route from that one parse (persisted, or staged
+    as a table under ``stage_dir``; see :func:`fan_out`)."""
     used = {f for route, _ in sinks for f in route.fields}
     parse_schema = keep_fields(schema, [f for f in schema.fieldNames() if f in used])
     return start_stream(
-        change_records(read_topic_stream(spark, source), parse_schema), fan_out(sinks, persist=persist), checkpoint, trigger
+        change_records(read_topic_stream(spark, source), parse_schema),
+        fan_out(sinks, persist=persist, stage_dir=stage_dir),
+        checkpoint,
+        trigger,
     )

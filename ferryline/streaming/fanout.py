@@ -10,26 +10,45 @@ from pyspark.sql import DataFrame
 from ferryline.operators.typed import Route
 from ferryline.sinks.tables import TableSink
 
+STAGE_SLOTS = 2
 
-def fan_out(routes: Sequence[tuple[Route, TableSink]], persist: bool = True):
+
+def fan_out(
+    routes: Sequence[tuple[Route, TableSink]],
+    persist: bool = True,
+    stage_dir: str | None = None,
+):
     """``foreachBatch`` handler writing each route to its sink.
 
     The batch is first narrowed to the fields the routes use (so the JSON
-    parse upstream is pruned to them) and, with more than one route,
-    persisted once so the source is read and parsed once rather than once
-    per sink. The batch size is bounded by the source's rate limit
-    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), which bounds what
-    is cached; MEMORY_AND_DISK spills instead of failing. A lost cached
-    block is recomputed from the batch's fixed offsets.
+    parse upstream is pruned to them). With more than one route it is then
+    shared, so the source is read and parsed once rather than once per sink:
+
+    * ``stage_dir`` given (a folder under the shared root): the narrowed
+      batch is written there once as Parquet and every route reads that
+      copy. This cuts the lineage back to the topic, so executors lost
+      mid-batch cost a re-read of shared files, never a re-read of topic
+      offsets that retention may already have dropped. Two slots are used
+      in turn (batch id mod 2): staging holds at most two batches, and a
+      replayed batch overwrites its own slot.
+    * otherwise, with ``persist``: the narrowed batch is persisted
+      (MEMORY_AND_DISK) and unpersisted after the last sink. The batch
+      size, and so the cache, is bounded by the source's rate limit; a
+      lost cached block is recomputed from the batch's fixed offsets.
     """
     needed: list[str] = []
     for route, _ in routes:
         needed += [f for f in route.fields if f not in needed]
-    cache = persist and len(routes) > 1
+    shared = len(routes) > 1
+    cache = persist and shared and not stage_dir
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         narrowed = batch.select(*needed)
-        if cache:
+        if stage_dir and shared:
+            slot = f"{stage_dir}/slot={batch_id % STAGE_SLOTS}"
+            narrowed.write.mode("overwrite").parquet(slot)
+            narrowed = batch.sparkSession.read.parquet(slot)
+        elif cache:
             narrowed = narrowed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for route, sink in routes:

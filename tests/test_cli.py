@@ -20,3 +20,24 @@ def test_publish_then_ingest(spark, tmp_root):
           "--checkpoint", os.path.join(tmp_root, "ck")])
     rows = FileTableSink(os.path.join(tables, "aviation_data")).read(spark).collect()
     assert sorted(tuple(r) for r in rows) == sorted(EXPECTED)
+
+
+def test_route_stages_batches_next_to_checkpoint(spark, tmp_root):
+    import json
+
+    from ferryline.config import TopicConfig
+    from ferryline.sinks import write_topic
+    from ferryline.workspace import shared_root
+
+    topic = f"changes-{uuid.uuid4().hex[:8]}"
+    envs = [json.dumps({"payload": {"after": {"event_id": str(i), "make": f"M{i}", "total_uninjured": str(i)}}})
+            for i in range(20)]
+    cfg = TopicConfig(topic, path=f"{shared_root(spark)}/topics/{topic}")
+    write_topic(spark.createDataFrame([(None, v) for v in envs], "key string, value string"), cfg)
+    tables, ck = os.path.join(tmp_root, "tables"), os.path.join(tmp_root, "ck")
+    main(["route", "--topic", topic, "--available-now", "--table-root", tables, "--checkpoint", ck])
+    quant = FileTableSink(os.path.join(tables, "quantitative_table")).read(spark)
+    qual = FileTableSink(os.path.join(tables, "qualitative_table")).read(spark)
+    assert sorted(r.total_uninjured for r in quant.collect()) == list(range(20))
+    assert sorted(r.make for r in qual.collect()) == sorted(f"M{i}" for i in range(20))
+    assert os.listdir(ck + "-staging") == ["slot=0"]

@@ -66,3 +66,20 @@ def test_kafka_branch_uses_kafka_source(spark):
     cfg = TopicConfig("csv_to_mysql", servers="localhost:1")
     with pytest.raises(Exception, match="(?i)kafka"):
         read_topic_stream(spark, cfg)
+
+
+def test_crash_between_sinks_with_staged_batch(spark):
+    topic = TopicConfig("c", path=fresh_dir(spark, "topic"))
+    write_topic(spark.createDataFrame([(None, _env(i)) for i in range(30)], "key string, value string"), topic)
+    a, b = FileTableSink(fresh_dir(spark, "a")), FileTableSink(fresh_dir(spark, "b"))
+    ckpt, stage = fresh_dir(spark, "ck"), fresh_dir(spark, "stage")
+    flag = []
+    q = route_changes(spark, topic, [(ROUTE_A, CrashOnce(a, 0, flag)), (ROUTE_B, b)], ckpt,
+                      trigger={"availableNow": True}, stage_dir=stage)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    q = route_changes(spark, topic, [(ROUTE_A, a), (ROUTE_B, b)], ckpt, trigger={"availableNow": True},
+                      stage_dir=stage)
+    q.awaitTermination()
+    assert a.read(spark).count() == 30 and b.read(spark).count() == 30
+    assert sorted(r.make for r in b.read(spark).collect()) == sorted(f"M{i}" for i in range(30))

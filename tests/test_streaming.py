@@ -90,3 +90,22 @@ def test_run_available_single_sink(spark):
     sink = FileTableSink(fresh_dir(spark, "s"))
     run_available(line_records(read_topic_stream(spark, topic)), single_sink(sink), fresh_dir(spark, "ck"))
     assert sink.read(spark).count() == len(LINES)
+
+
+def test_staged_fan_out_equals_persisted_and_reuses_two_slots(spark):
+    import os
+
+    topic = TopicConfig("changes", path=fresh_dir(spark, "topic"), max_files_per_trigger=1)
+    for part in range(3):
+        values = [_envelope(i, "u" if i % 4 == 0 else "c") for i in range(part * 10, part * 10 + 10)]
+        write_topic(spark.createDataFrame([(None, v) for v in values], "key string, value string").coalesce(1), topic)
+    out = {}
+    stage = fresh_dir(spark, "stage")
+    for mode in ("persist", "stage"):
+        sinks = {r.name: FileTableSink(fresh_dir(spark, f"{mode}-{r.name}")) for r in DEFAULT_ROUTES}
+        _await(route_changes(spark, topic, [(r, sinks[r.name]) for r in DEFAULT_ROUTES], fresh_dir(spark, "ck"),
+                             trigger={"availableNow": True}, stage_dir=stage if mode == "stage" else None))
+        out[mode] = {n: sorted(tuple(r) for r in s.read(spark).collect()) for n, s in sinks.items()}
+        assert spark.read.parquet(sinks["quantitative_table"].path).select("batch_id").distinct().count() == 3
+    assert out["persist"] == out["stage"] and all(len(v) == 30 for v in out["stage"].values())
+    assert sorted(os.listdir(stage.replace("file:", ""))) == ["slot=0", "slot=1"]
