@@ -47,7 +47,8 @@ def fan_out(
         if stage_dir and shared:
             slot = f"{stage_dir}/slot={batch_id % STAGE_SLOTS}"
             narrowed.write.mode("overwrite").parquet(slot)
-            narrowed = batch.sparkSession.read.parquet(slot)
+            # known schema: no footer reads to infer it, and an empty slot reads as empty
+            narrowed = batch.sparkSession.read.schema(narrowed.schema).parquet(slot)
         elif cache:
             narrowed = narrowed.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -109,3 +109,11 @@ def test_staged_fan_out_equals_persisted_and_reuses_two_slots(spark):
         assert spark.read.parquet(sinks["quantitative_table"].path).select("batch_id").distinct().count() == 3
     assert out["persist"] == out["stage"] and all(len(v) == 30 for v in out["stage"].values())
     assert sorted(os.listdir(stage.replace("file:", ""))) == ["slot=0", "slot=1"]
+
+
+def test_staged_fan_out_of_an_empty_batch(spark):
+    empty = unwrap_after(spark.createDataFrame([], "value string"), CHANGE_SCHEMA)
+    a, b = FileTableSink(fresh_dir(spark, "a")), FileTableSink(fresh_dir(spark, "b"))
+    routes = [(Route("a", QUANTITATIVE_ROUTE), a), (Route("b", (("make", "string"),)), b)]
+    fan_out(routes, stage_dir=fresh_dir(spark, "stage"))(empty, 0)
+    assert a.read(spark).count() == 0 and b.read(spark).columns == ["make"]
