@@ -159,3 +159,20 @@ def test_rate_limits_sized_to_cluster():
     assert cfg.max_files_per_trigger == 64
     kept = sized_to_cluster(TopicConfig("t", max_offsets_per_trigger=5, min_partitions=2, max_files_per_trigger=1), 16)
     assert (kept.max_offsets_per_trigger, kept.min_partitions, kept.max_files_per_trigger) == (5, 2, 1)
+
+
+def test_hot_key_is_not_read_by_one_task(spark):
+    """A key holding 40 % of all messages stays in one topic partition (per-key
+    order), but reading the topic does not hand that load to one task."""
+    from pyspark.sql import functions as F
+
+    lines = spark.range(4000).select(
+        F.when(F.col("id") % 5 < 2, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k")
+    ).select(F.concat_ws(",", "k", F.lit("x")).alias("value"))
+    cfg = TopicConfig("t", path=fresh_dir(spark, "topic"), num_partitions=3)
+    write_topic(keyed_messages(lines.repartition(4), "t"), cfg)
+    raw = read_topic(spark, cfg)
+    hot = raw.where(F.col("key") == F.lit(b"HOT"))
+    assert hot.count() == 1600 and hot.select("partition").distinct().count() == 1
+    per_task = [r[0] for r in raw.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(per_task) >= 4 and max(per_task) <= 0.3 * sum(per_task)
