@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_NO_SPLIT = "\u0001"
+# Field separator for reading/writing a line as one CSV field: a line is cut
+# at line breaks before it is parsed, so it can never contain one, and no
+# character of the line (control characters included) splits or quotes it.
+_NO_SPLIT = "\n"
 
 
 def raw_lines(
@@ -23,9 +26,10 @@ def raw_lines(
     a data line equal to the header would be dropped too.
 
     The CSV reader is used only for its per-file header handling and its
-    split-friendly line reader: with a separator that does not occur in the
-    data and quoting switched off, a line is one field with quotes,
-    backslashes and outer blanks intact. Blank lines are skipped. Files are
+    split-friendly line reader: with the line break as separator (never
+    inside a line) and quoting switched off, a whole line is one field with
+    quotes, backslashes, control characters and outer blanks intact. Blank
+    lines are skipped. Files are
     cut into splits by ``spark.sql.files.maxPartitionBytes``, so a large
     file is read by many tasks.
     """

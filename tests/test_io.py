@@ -176,3 +176,13 @@ def test_hot_key_is_not_read_by_one_task(spark):
     assert hot.count() == 1600 and hot.select("partition").distinct().count() == 1
     per_task = [r[0] for r in raw.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert len(per_task) >= 4 and max(per_task) <= 0.3 * sum(per_task)
+
+
+def test_raw_lines_keep_control_characters_whole(spark, tmp_root):
+    text = ["a\u0001b,\"q\",c", "last\u0001\u0001", "tab\there\u0002"]
+    with open(os.path.join(tmp_root, "f.csv"), "w") as f:
+        f.write("\n".join(["h"] + text) + "\n")
+    assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == sorted(text)
+    out = fresh_dir(spark, "lines")
+    write_lines(spark.createDataFrame([(x,) for x in text], "value string"), out, header="h")
+    assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
