@@ -186,3 +186,18 @@ def test_raw_lines_keep_control_characters_whole(spark, tmp_root):
     out = fresh_dir(spark, "lines")
     write_lines(spark.createDataFrame([(x,) for x in text], "value string"), out, header="h")
     assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
+
+
+def test_raw_lines_from_a_file_cut_into_many_splits(spark, tmp_root):
+    text = [f'{i},"City {i}, ST",x{i}' for i in range(5000)]
+    with open(os.path.join(tmp_root, "big.csv"), "w") as f:
+        f.write("\n".join(["H1,H2,H3"] + text) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = raw_lines(spark, tmp_root)
+        assert df.rdd.getNumPartitions() > 4  # the file is read by many tasks
+        got = [r.value for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got) == sorted(text)  # header dropped once, no line lost or doubled at a cut
