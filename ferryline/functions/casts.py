@@ -2,11 +2,14 @@
 
 The original pipeline ran on a non-ANSI engine where a bad cast quietly
 became NULL. With ANSI on, a plain ``cast`` raises instead, so these are
-built from ``try_cast``:
-
-* text -> int: surrounding blanks are ignored and a fraction is cut off
-  toward zero ('3.9' -> 3, '-2.5' -> -2); anything else that is not a
-  32-bit integer ('', ' In', 'VMC', '99999999999') is NULL.
+built from ``try_cast`` and reproduce the legacy results exactly:
+
+* text -> int: blanks and control characters around the text are
+  ignored; an optional sign, digits, and optionally a '.' followed only by
+  digits; the fraction is cut off toward zero ('3.9' -> 3, '-2.7' -> -2,
+  '5.' -> 5, and with no whole digits '.5' / '.' -> 0). Anything else
+  ('', '+', ' In', 'VMC', '3.9x', '1.2.3', '1e3') and values outside
+  32 bits ('99999999999') are NULL.
 * text -> timestamp: the session time zone reads zone-less text; bad text
   is NULL.
 """
@@ -18,10 +21,22 @@ from pyspark.sql import functions as F
 
 from ferryline.functions.text import ColumnOrName, _col
 
+# what the legacy cast trims from both ends: blanks and ASCII control characters
+_EDGES = r"^[\x00-\x20\x7f]+|[\x00-\x20\x7f]+$"
+_DECIMAL_TEXT = r"^[+-]?[0-9]*(\.[0-9]*)?$"
+
 
 def lenient_int(c: ColumnOrName) -> Column:
-    whole_part = F.substring_index(F.trim(_col(c)), ".", 1)
-    return whole_part.try_cast("int")
+    text = _col(c)
+    # Fast path: a plain integer parses the same way with try_cast.
+    plain = text.try_cast("int")
+    core = F.regexp_replace(text, _EDGES, "")
+    whole = F.regexp_extract(core, r"^[+-]?[0-9]*", 0)
+    with_fraction = F.when(
+        core.rlike(_DECIMAL_TEXT) & ~core.isin("", "+", "-"),
+        F.when(whole.rlike("[0-9]"), whole.try_cast("int")).otherwise(F.lit(0)),
+    )
+    return F.coalesce(plain, with_fraction)
 
 
 def lenient_timestamp(c: ColumnOrName) -> Column:

@@ -274,6 +274,28 @@ def lenient_cast_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", "raw", lenient_int("raw").alias("as_int"))
 
 
+def lenient_cast_int_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The legacy cast's corner cases: no whole digits ('.7' -> 0), a bare
+    '.' at the end, junk after the fraction, two points, a lone sign,
+    control characters around, a blank inside."""
+    events = table(spark, sf_dir, "events")
+    rule = F.pmod(F.col("event_id"), F.lit(9))
+    uid = _s("user_id")
+    raw = (
+        F.when(rule == 0, F.concat(F.lit("."), uid))
+        .when(rule == 1, F.concat(uid, F.lit(".")))
+        .when(rule == 2, F.concat(_dec("value"), F.lit("x")))
+        .when(rule == 3, F.concat(uid, F.lit("."), _s("event_id"), F.lit(".5")))
+        .when(rule == 4, F.lit("+"))
+        .when(rule == 5, F.concat(F.lit("\t"), uid, F.lit("\n")))
+        .when(rule == 6, F.concat(F.lit("-."), uid))
+        .when(rule == 7, F.concat(uid, F.lit(" .5")))
+        .otherwise(F.concat(F.lit("+"), _dec("value")))
+    )
+    df = events.select("event_id", raw.alias("raw"))
+    return df.select("event_id", "raw", lenient_int("raw").alias("as_int"))
+
+
 def lenient_cast_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     rule = F.pmod(F.col("o_orderkey"), F.lit(6))
@@ -411,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "cdc_unwrap_three_step": cdc_unwrap_three_step,
     "cdc_delete_null_row": cdc_delete_null_row,
     "lenient_cast_int": lenient_cast_int,
+    "lenient_cast_int_edges": lenient_cast_int_edges,
     "lenient_cast_timestamp": lenient_cast_timestamp,
     "route_quantitative": route_quantitative,
     "route_qualitative": route_qualitative,
@@ -462,9 +485,21 @@ _CHANGES_CTE = (
 )
 
 
+def _duck_lenient_int(x: str) -> str:
+    """The legacy text -> int cast in DuckDB SQL: blanks and control
+    characters trimmed, optional sign, digits, optional '.' and digits,
+    fraction cut off ('.5' -> 0), anything else or overflow NULL."""
+    t = f"regexp_replace({x}, '^[\\x00-\\x20\\x7f]+|[\\x00-\\x20\\x7f]+$', '', 'g')"
+    return (
+        f"CASE WHEN regexp_full_match({t}, '[+-]?[0-9]*(\\.[0-9]*)?') AND {t} NOT IN ('', '+', '-') "
+        f"THEN CASE WHEN regexp_matches({t}, '^[+-]?[0-9]') "
+        f"THEN TRY_CAST(regexp_extract({t}, '^[+-]?[0-9]*', 0) AS INTEGER) ELSE 0 END END"
+    )
+
+
 def _duck_cast(name: str, type_name: str) -> str:
     if type_name == "int":
-        return f"TRY_CAST(split_part(trim({name}), '.', 1) AS INTEGER) AS {name}"
+        return f"{_duck_lenient_int(name)} AS {name}"
     if type_name == "timestamp":
         return f"TRY_CAST({name} AS TIMESTAMP) AS {name}"
     return name
@@ -560,7 +595,20 @@ ORACLES: dict[str, str] = {
         "WHEN 4 THEN NULL WHEN 5 THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) "
         "WHEN 6 THEN '-' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) "
         "ELSE CAST(user_id AS VARCHAR) || '99999999999' END AS raw FROM events) "
-        "SELECT event_id, raw, TRY_CAST(split_part(trim(raw), '.', 1) AS INTEGER) AS as_int FROM r"
+        f"SELECT event_id, raw, {_duck_lenient_int('raw')} AS as_int FROM r"
+    ),
+    "lenient_cast_int_edges": (
+        "WITH r AS (SELECT event_id, CASE event_id % 9 "
+        "WHEN 0 THEN '.' || CAST(user_id AS VARCHAR) "
+        "WHEN 1 THEN CAST(user_id AS VARCHAR) || '.' "
+        "WHEN 2 THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || 'x' "
+        "WHEN 3 THEN CAST(user_id AS VARCHAR) || '.' || CAST(event_id AS VARCHAR) || '.5' "
+        "WHEN 4 THEN '+' "
+        "WHEN 5 THEN chr(9) || CAST(user_id AS VARCHAR) || chr(10) "
+        "WHEN 6 THEN '-.' || CAST(user_id AS VARCHAR) "
+        "WHEN 7 THEN CAST(user_id AS VARCHAR) || ' .5' "
+        "ELSE '+' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS raw FROM events) "
+        f"SELECT event_id, raw, {_duck_lenient_int('raw')} AS as_int FROM r"
     ),
     "lenient_cast_timestamp": (
         "WITH r AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "

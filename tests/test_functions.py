@@ -58,6 +58,14 @@ def test_key_is_first_field_of_raw_line(spark):
         ("-2.7", -2),
         ("99999999999", None),
         ("1948-10-24", None),
+        (".5", 0),
+        (".", 0),
+        ("5.", 5),
+        ("+", None),
+        ("3.9x", None),
+        ("1.2.3", None),
+        ("7 .5", None),
+        ("\t8\n", 8),
         (None, None),
     ],
 )

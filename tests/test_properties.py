@@ -25,3 +25,25 @@ def test_split_matches_python(spark, lines):
     got_stripped = [tuple(r) for r in split_fields(keyed_messages(df, "t"), NAMES).collect()]
     assert got_stripped == [expected(x) for x in lines]
     assert got == [tuple((x.split(",") + [None] * 6)[:6]) for x in lines]
+
+
+number_text = st.text(alphabet=st.sampled_from(list("0123456789.+- \t\x01xe")), max_size=12)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(number_text, min_size=1, max_size=40))
+def test_lenient_int_equals_legacy_cast(spark, texts):
+    """With ANSI on, ``lenient_int`` gives what the non-ANSI cast the original
+    pipeline ran on gives (Spark keeps that cast when ANSI is off)."""
+    from pyspark.sql import functions as F
+
+    from ferryline.functions import lenient_int
+
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    ours = [r[0] for r in df.select(lenient_int("v")).collect()]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = [r[0] for r in df.select(F.col("v").cast("int")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
