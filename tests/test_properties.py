@@ -47,3 +47,24 @@ def test_lenient_int_equals_legacy_cast(spark, texts):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
+
+
+date_text = st.text(alphabet=st.sampled_from(list("0123456789--:: T.+Z")), max_size=22)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(date_text, min_size=1, max_size=40))
+def test_lenient_timestamp_equals_legacy_cast(spark, texts):
+    from pyspark.sql import functions as F
+
+    from ferryline.functions import lenient_timestamp
+
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    # compared as text: years outside 1..9999 have no Python datetime
+    ours = [r[0] for r in df.select(lenient_timestamp("v").cast("string")).collect()]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = [r[0] for r in df.select(F.col("v").cast("timestamp").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
