@@ -52,8 +52,15 @@ def main(argv=None) -> None:
     p.add_argument("--servers", help="Kafka bootstrap servers; omit for file-backed topics")
     p.add_argument("--topic")
     p.add_argument("--partition", type=int, help="publish: pin every message to one partition")
-    p.add_argument("--keep-blank-lines", action="store_true", help="publish: send blank lines as empty messages")
-    p.add_argument("--header-line", help="publish: header text to drop when keeping blank lines")
+    p.add_argument(
+        "--skip-blank-lines",
+        action="store_true",
+        help="publish: drop each file's first line by position and skip blank lines (files with different "
+        "headers); default: blank lines are messages too and the header is dropped by content",
+    )
+    p.add_argument(
+        "--header-line", help="publish: header text to drop when keeping blank lines (default: the first file's)"
+    )
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int, help="default: 1,000,000 per core")
     p.add_argument("--max-files-per-trigger", type=int, help="default: 4 per core")
@@ -83,7 +90,7 @@ def main(argv=None) -> None:
             args.lines,
             _topic(args, LINE_TOPIC, root),
             partition=args.partition,
-            keep_blank_lines=args.keep_blank_lines,
+            keep_blank_lines=not args.skip_blank_lines,
             header_line=args.header_line,
         )
         return

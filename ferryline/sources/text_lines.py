@@ -14,43 +14,56 @@ def raw_lines(
     spark: SparkSession,
     path: str,
     header: bool = True,
-    keep_blank_lines: bool = False,
+    keep_blank_lines: bool = True,
     header_line: str | None = None,
 ) -> DataFrame:
-    """Each line of the file(s) as one ``value`` string, first line of every
-    file dropped when ``header``.
+    """Each line of the file(s) as one ``value`` string, the header dropped
+    when ``header``. Lines are whole: quotes, backslashes, control
+    characters and outer blanks stay as they are. Files are cut into splits
+    by ``spark.sql.files.maxPartitionBytes``, so a large file is read by
+    many tasks.
 
-    ``keep_blank_lines=True`` keeps empty lines as empty values (each then
-    becomes a message with an empty key and value). It reads with the text
-    source and drops the header by content, so it needs ``header_line``;
-    a data line equal to the header would be dropped too.
+    Default (``keep_blank_lines=True``), as the original line reader: every
+    line is a value, blank and whitespace-only lines too (each becomes a
+    message with an empty or blank key and value). Read with the text
+    source; the header is dropped by content: ``header_line``, or when not
+    given the first file's header, read from that one line, so the files
+    are expected to share it (a data line equal to it is dropped too).
 
-    The CSV reader is used only for its per-file header handling and its
-    split-friendly line reader: with the line break as separator (never
-    inside a line) and quoting switched off, a whole line is one field with
-    quotes, backslashes, control characters and outer blanks intact. Blank
-    lines are skipped. Files are
-    cut into splits by ``spark.sql.files.maxPartitionBytes``, so a large
-    file is read by many tasks.
+    ``keep_blank_lines=False``: for files with different headers. The CSV
+    reader drops the first line of every file by position (only the split
+    that starts the file does), with the line break as separator (never
+    inside a line) and quoting off, so a line is one field; it skips blank
+    and whitespace-only lines.
     """
     if keep_blank_lines:
         lines = spark.read.text(path)
         if not header:
             return lines
         if header_line is None:
-            raise ValueError("keep_blank_lines with a header needs header_line")
+            header_line = first_header(spark, path)
         return lines.where(lines.value != header_line)
+    return _line_reader(spark, header).schema("value string").option("enforceSchema", True).csv(path)
+
+
+def first_header(spark: SparkSession, path: str) -> str:
+    """The header line (first non-blank line) of the first file, verbatim.
+
+    Read as the name of the single column the line reader sees, so only
+    that one line is read and only it reaches the driver.
+    """
+    return _line_reader(spark, True).csv(path).columns[0]
+
+
+def _line_reader(spark: SparkSession, header: bool):
     return (
-        spark.read.schema("value string")
-        .option("header", header)
+        spark.read.option("header", header)
         .option("sep", _NO_SPLIT)
         .option("quote", "")
         .option("escape", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
-        .csv(path)
     )
 
 

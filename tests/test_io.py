@@ -19,6 +19,16 @@ def test_raw_lines_drops_header_of_every_file(spark, tmp_root):
             f.write("\n".join(["Event.Id,Investigation.Type"] + part))
     got = sorted(r.value for r in raw_lines(spark, tmp_root).collect())
     assert got == sorted(LINES)  # quotes intact, no header rows
+    by_position = sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect())
+    assert by_position == sorted(LINES)
+
+
+def test_raw_lines_by_position_for_files_with_different_headers(spark, tmp_root):
+    for i, part in enumerate((LINES[:2], LINES[2:])):
+        with open(os.path.join(tmp_root, f"part{i}.csv"), "w") as f:
+            f.write("\n".join([f"Header{i}"] + part))
+    got = sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect())
+    assert got == sorted(LINES)
 
 
 def test_raw_lines_keeps_quotes_backslashes_blanks(spark, tmp_root):
@@ -143,11 +153,22 @@ def test_shared_root_on_a_cluster_needs_checkpoint_dir():
 def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
     with open(os.path.join(tmp_root, "f.csv"), "w", newline="") as f:
         f.write("H1,H2\r\na,b\r\n\r\nc,d\r\n")
-    assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["a,b", "c,d"]
+    assert sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect()) == ["a,b", "c,d"]
+    assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["", "a,b", "c,d"]
     kept = raw_lines(spark, tmp_root, keep_blank_lines=True, header_line="H1,H2").collect()
     assert sorted(r.value for r in kept) == ["", "a,b", "c,d"]
-    with pytest.raises(ValueError):
-        raw_lines(spark, tmp_root, keep_blank_lines=True)
+    detected = raw_lines(spark, tmp_root, keep_blank_lines=True).collect()  # header read from the file
+    assert sorted(r.value for r in detected) == ["", "a,b", "c,d"]
+
+
+def test_first_header_is_read_verbatim(spark, tmp_root):
+    from ferryline.sources.text_lines import first_header
+
+    with open(os.path.join(tmp_root, "f.csv"), "w") as f:
+        f.write('  Event.Id,"Loc, X" ,Make \na,b\n\n   \nc\n')
+    assert first_header(spark, tmp_root) == '  Event.Id,"Loc, X" ,Make '
+    kept = sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=True).collect())
+    assert kept == ["", "   ", "a,b", "c"]  # blank and whitespace-only lines are messages too
 
 
 def test_rate_limits_sized_to_cluster():
@@ -183,6 +204,7 @@ def test_raw_lines_keep_control_characters_whole(spark, tmp_root):
     with open(os.path.join(tmp_root, "f.csv"), "w") as f:
         f.write("\n".join(["h"] + text) + "\n")
     assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == sorted(text)
+    assert sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect()) == sorted(text)
     out = fresh_dir(spark, "lines")
     write_lines(spark.createDataFrame([(x,) for x in text], "value string"), out, header="h")
     assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
@@ -195,9 +217,10 @@ def test_raw_lines_from_a_file_cut_into_many_splits(spark, tmp_root):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     try:
-        df = raw_lines(spark, tmp_root)
-        assert df.rdd.getNumPartitions() > 4  # the file is read by many tasks
-        got = [r.value for r in df.collect()]
+        for keep_blank_lines in (True, False):
+            df = raw_lines(spark, tmp_root, keep_blank_lines=keep_blank_lines)
+            assert df.rdd.getNumPartitions() > 4  # the file is read by many tasks
+            got = [r.value for r in df.collect()]
+            assert sorted(got) == sorted(text)  # header dropped once, no line lost or doubled at a cut
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert sorted(got) == sorted(text)  # header dropped once, no line lost or doubled at a cut
