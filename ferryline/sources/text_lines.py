@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 # at line breaks before it is parsed, so it can never contain one, and no
 # character of the line (control characters included) splits or quotes it.
 _NO_SPLIT = "\n"
+_BOM = "\ufeff"
 
 
 def raw_lines(
@@ -42,7 +43,9 @@ def raw_lines(
             return lines
         if header_line is None:
             header_line = first_header(spark, path)
-        return lines.where(lines.value != header_line)
+        core = header_line.lstrip(_BOM)
+        # the header as the first line of a file may carry a byte-order mark
+        return lines.where(~lines.value.isin(core, _BOM + core))
     return _line_reader(spark, header).schema("value string").option("enforceSchema", True).csv(path)
 
 

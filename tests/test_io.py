@@ -224,3 +224,10 @@ def test_raw_lines_from_a_file_cut_into_many_splits(spark, tmp_root):
             assert sorted(got) == sorted(text)  # header dropped once, no line lost or doubled at a cut
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_header_with_byte_order_mark_is_dropped(spark, tmp_root):
+    with open(os.path.join(tmp_root, "f.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("H1,H2\na,b\n\nc\n")
+    assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["", "a,b", "c"]
+    assert sorted(r.value for r in raw_lines(spark, tmp_root, header_line="H1,H2").collect()) == ["", "a,b", "c"]
