@@ -98,6 +98,11 @@ def raw_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_lines(spark, _accident_csv(spark, sf_dir))
 
 
+def raw_line_scan_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-file mode: each file's first line dropped by position."""
+    return raw_lines(spark, _accident_csv(spark, sf_dir), keep_blank_lines=False)
+
+
 def publish_keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = TopicConfig(LINE_TOPIC, path=fresh_dir(spark, "topic-lines"))
     publish_lines(spark, _accident_csv(spark, sf_dir), topic)
@@ -417,6 +422,7 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "raw_line_scan": raw_line_scan,
+    "raw_line_scan_by_position": raw_line_scan_by_position,
     "publish_keyed_lines": publish_keyed_lines,
     "publish_pinned_partition": publish_pinned_partition,
     "kafka_row_decode": kafka_row_decode,
@@ -530,6 +536,7 @@ _ROUTE_UNION = (
 
 ORACLES: dict[str, str] = {
     "raw_line_scan": f"SELECT {_DUCK_LINE} AS value FROM lineitem",
+    "raw_line_scan_by_position": f"SELECT {_DUCK_LINE} AS value FROM lineitem",
     "publish_keyed_lines": (
         f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic "
         f"FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
