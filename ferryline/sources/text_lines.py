@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Field separator for reading/writing a line as one CSV field: a line is cut
@@ -43,19 +44,26 @@ def raw_lines(
             return lines
         if header_line is None:
             header_line = first_header(spark, path)
+        if header_line is None:  # no non-blank line anywhere: nothing to drop
+            return lines
         core = header_line.lstrip(_BOM)
         # the header as the first line of a file may carry a byte-order mark
         return lines.where(~lines.value.isin(core, _BOM + core))
     return _line_reader(spark, header).schema("value string").option("enforceSchema", True).csv(path)
 
 
-def first_header(spark: SparkSession, path: str) -> str:
-    """The header line (first non-blank line) of the first file, verbatim.
+def first_header(spark: SparkSession, path: str) -> str | None:
+    """The header line (first non-blank line) of the first file, verbatim;
+    None when the input has no non-blank line.
 
     Read as the name of the single column the line reader sees, so only
     that one line is read and only it reaches the driver.
     """
-    return _line_reader(spark, True).csv(path).columns[0]
+    try:
+        columns = _line_reader(spark, True).csv(path).columns
+    except AnalysisException:  # no data files to infer from
+        return None
+    return columns[0] if columns else None
 
 
 def _line_reader(spark: SparkSession, header: bool):

@@ -231,3 +231,14 @@ def test_header_with_byte_order_mark_is_dropped(spark, tmp_root):
         f.write("H1,H2\na,b\n\nc\n")
     assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["", "a,b", "c"]
     assert sorted(r.value for r in raw_lines(spark, tmp_root, header_line="H1,H2").collect()) == ["", "a,b", "c"]
+
+
+def test_raw_lines_of_empty_input(spark, tmp_root):
+    from ferryline.sources.text_lines import first_header
+
+    empty_dir = os.path.join(tmp_root, "none")
+    os.makedirs(empty_dir)
+    open(os.path.join(empty_dir, "empty.csv"), "w").close()
+    assert first_header(spark, empty_dir) is None
+    assert raw_lines(spark, empty_dir).count() == 0
+    assert raw_lines(spark, empty_dir, keep_blank_lines=False).count() == 0
