@@ -116,6 +116,27 @@ def publish_pinned_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(read_topic(spark, topic), keep=("topic", "partition"))
 
 
+BLANK_LINES_HEADER = "o_orderkey,o_orderstatus,o_orderpriority"
+
+
+def publish_blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with blank ones among them (an empty line for every order in
+    status P, blanks only for status F) through files and the publish job:
+    each is still a message, with an empty or blank key."""
+    orders = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    line = (
+        F.when(st == "P", F.lit(""))
+        .when(st == "F", F.lit("   "))
+        .otherwise(F.concat_ws(",", _s("o_orderkey"), st, F.col("o_orderpriority")))
+    )
+    path = fresh_dir(spark, "orders-lines")
+    write_lines(orders.select(line.alias("value")), path, header=BLANK_LINES_HEADER)
+    topic = TopicConfig(LINE_TOPIC, path=fresh_dir(spark, "topic-blank"))
+    publish_lines(spark, path, topic)
+    return decode_messages(read_topic(spark, topic))
+
+
 def kafka_row_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     messages = events.select(
@@ -425,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "raw_line_scan_by_position": raw_line_scan_by_position,
     "publish_keyed_lines": publish_keyed_lines,
     "publish_pinned_partition": publish_pinned_partition,
+    "publish_blank_lines": publish_blank_lines,
     "kafka_row_decode": kafka_row_decode,
     "split_positional_projection": split_positional_projection,
     "split_projection_32": split_projection_32,
@@ -545,6 +567,11 @@ ORACLES: dict[str, str] = {
         f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic, "
         f"1 AS partition FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
     ),
+    "publish_blank_lines": (
+        f"SELECT split_part(line, ',', 1) AS key, line AS value, {_lit(LINE_TOPIC)} AS topic FROM "
+        "(SELECT CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN '   ' "
+        "ELSE concat_ws(',', CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority) END AS line FROM orders)"
+    ),
     "kafka_row_decode": (
         "SELECT CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS key, "
         "props AS value, 'events' AS topic FROM events"

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Field separator for reading/writing a line as one CSV field: a line is cut
 # at line breaks before it is parsed, so it can never contain one, and no
 # character of the line (control characters included) splits or quotes it.
 _NO_SPLIT = "\n"
 _BOM = "\ufeff"
+# monotonically_increasing_id = task index * 2**33 + row number within the task
+_TASK_ROWS = 1 << 33
 
 
 def raw_lines(
@@ -79,15 +82,15 @@ def _line_reader(spark: SparkSession, header: bool):
 
 
 def write_lines(df: DataFrame, path: str, header: str | None = None, line_col: str = "value") -> None:
-    """Write one text line per row; ``header`` (if given) opens every file."""
-    out = df.select(df[line_col].alias(header or "value"))
-    (
-        out.write.mode("overwrite")
-        .option("header", header is not None)
-        .option("sep", _NO_SPLIT)
-        .option("quote", "")
-        .option("escapeQuotes", False)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Write one text line per row, verbatim (empty and blank lines too);
+    ``header`` (if given) opens every file.
+
+    Each write task writes one file (no rolling by record count), so the
+    header goes before the task's first row: the row whose
+    ``monotonically_increasing_id`` has row number 0 within its task.
+    """
+    line = F.col(line_col)
+    if header is not None:
+        first_of_task = (F.monotonically_increasing_id() % F.lit(_TASK_ROWS)) == 0
+        line = F.when(first_of_task, F.concat(F.lit(header + "\n"), F.coalesce(line, F.lit("")))).otherwise(line)
+    df.select(line.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).text(path)

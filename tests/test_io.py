@@ -242,3 +242,14 @@ def test_raw_lines_of_empty_input(spark, tmp_root):
     assert first_header(spark, empty_dir) is None
     assert raw_lines(spark, empty_dir).count() == 0
     assert raw_lines(spark, empty_dir, keep_blank_lines=False).count() == 0
+
+
+def test_write_lines_keeps_empty_and_blank_lines(spark):
+    text = ["a,b", "", "   ", "c", '"q"']
+    out = fresh_dir(spark, "lines")
+    write_lines(spark.createDataFrame([(x,) for x in text], "value string").repartition(3), out, header="H")
+    import glob
+
+    files = [f for f in glob.glob(out.replace("file:", "") + "/part-*") if os.path.getsize(f) > 0]
+    assert files and all(open(f).read().startswith("H\n") for f in files)  # every file opens with the header
+    assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
