@@ -64,8 +64,10 @@ def first_header(spark: SparkSession, path: str) -> str | None:
     """
     try:
         columns = _line_reader(spark, True).csv(path).columns
-    except AnalysisException:  # no data files to infer from
-        return None
+    except AnalysisException as err:
+        if err.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no data files at all
+            return None
+        raise  # a missing path or unreadable input is an error, not "no header"
     return columns[0] if columns else None
 
 

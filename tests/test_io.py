@@ -253,3 +253,14 @@ def test_write_lines_keeps_empty_and_blank_lines(spark):
     files = [f for f in glob.glob(out.replace("file:", "") + "/part-*") if os.path.getsize(f) > 0]
     assert files and all(open(f).read().startswith("H\n") for f in files)  # every file opens with the header
     assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
+
+
+def test_first_header_of_missing_path_is_an_error(spark, tmp_root):
+    from pyspark.errors import AnalysisException
+
+    from ferryline.sources.text_lines import first_header
+
+    os.makedirs(os.path.join(tmp_root, "nofiles"))
+    assert first_header(spark, os.path.join(tmp_root, "nofiles")) is None
+    with pytest.raises(AnalysisException):
+        first_header(spark, os.path.join(tmp_root, "missing"))
