@@ -1,6 +1,7 @@
 """Seven accident CSV rows and the 30 fields the line pipeline stores for
 each (quotes deleted, split on every comma, first 30 fields kept)."""
 
+# --- fixed values: seven lines of the original accident sample data, verbatim ---
 LINES = [
     '20001218X45444,Accident,SEA87LA080,1948-10-24,"MOOSE CREEK, ID",United States,,,,,Fatal(2),Destroyed,,NC6404,Stinson,108-3,No,1,Reciprocating,,,Personal,,2,0,0,0,UNK,Cruise,Probable Cause,',
     '20020917X01657,Accident,ATL82DA027,1982-01-02,"CHAMBLEE, GA",United States,,,PDK,,Non-Fatal,Substantial,Helicopter,N5745Y,Bell,206L-1,No,1,Turbo Shaft,Part 135: Air Taxi & Commuter,NSCH,Unknown,"Rocky Mountain Helicopters, In",0,0,0,1,VMC,Approach,Probable Cause,02-01-1983',
@@ -11,6 +12,7 @@ LINES = [
     '20020917X01625,Accident,ANC82DA015,1982-01-15,"NEAR NUIQSUT, AK",United States,,,,,Non-Fatal,Substantial,Airplane,N1459T,De Havilland,DHC-2-MK3,No,1,Turbo Prop,Part 135: Air Taxi & Commuter,NSCH,Unknown,"Sea Airmotive, Inc.",0,0,0,4,VMC,Landing,Probable Cause,15-01-1983',
 ]
 
+# --- fixed values: the 30 stored fields of each line above, from the original's stored table ---
 EXPECTED = [
     ("20001218X45444", "Accident", "SEA87LA080", "1948-10-24", "MOOSE CREEK", " ID", "United States", "", "", "", "", "Fatal(2)", "Destroyed", "", "NC6404", "Stinson", "108-3", "No", "1", "Reciprocating", "", "", "Personal", "", "2", "0", "0", "0", "UNK", "Cruise"),
     ("20020917X01657", "Accident", "ATL82DA027", "1982-01-02", "CHAMBLEE", " GA", "United States", "", "", "PDK", "", "Non-Fatal", "Substantial", "Helicopter", "N5745Y", "Bell", "206L-1", "No", "1", "Turbo Shaft", "Part 135: Air Taxi & Commuter", "NSCH", "Unknown", "Rocky Mountain Helicopters", " In", "0", "0", "0", "1", "VMC"),
