@@ -31,9 +31,10 @@ def raw_lines(
     Default (``keep_blank_lines=True``), as the original line reader: every
     line is a value, blank and whitespace-only lines too (each becomes a
     message with an empty or blank key and value). Read with the text
-    source; the header is dropped by content: ``header_line``, or when not
-    given the first file's header, read from that one line, so the files
-    are expected to share it (a data line equal to it is dropped too).
+    source; the header is dropped by content within the split that starts
+    each file: ``header_line``, or when not given the first file's header,
+    read from that one line, so the files are expected to share it (a data
+    line equal to it is dropped too when it lies in that first split).
 
     ``keep_blank_lines=False``: for files with different headers. The CSV
     reader drops the first line of every file by position (only the split
@@ -50,8 +51,10 @@ def raw_lines(
         if header_line is None:  # no non-blank line anywhere: nothing to drop
             return lines
         core = header_line.lstrip(_BOM)
-        # the header as the first line of a file may carry a byte-order mark
-        return lines.where(~lines.value.isin(core, _BOM + core))
+        # Only the split that starts a file can hold its header (which may
+        # carry a byte-order mark); a line equal to it anywhere else is data.
+        is_header = lines.value.isin(core, _BOM + core) & (F.col("_metadata.file_block_start") == 0)
+        return lines.where(~is_header).select("value")
     return _line_reader(spark, header).schema("value string").option("enforceSchema", True).csv(path)
 
 

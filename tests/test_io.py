@@ -264,3 +264,16 @@ def test_first_header_of_missing_path_is_an_error(spark, tmp_root):
     assert first_header(spark, os.path.join(tmp_root, "nofiles")) is None
     with pytest.raises(AnalysisException):
         first_header(spark, os.path.join(tmp_root, "missing"))
+
+
+def test_header_text_past_the_first_split_is_data(spark, tmp_root):
+    text = [f"{i},x{i}" for i in range(3000)] + ["H1,H2"] + [f"tail{i}" for i in range(10)]
+    with open(os.path.join(tmp_root, "f.csv"), "w") as f:
+        f.write("\n".join(["H1,H2"] + text) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = sorted(r.value for r in raw_lines(spark, tmp_root).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted(text)  # the header line near the end is a data line, kept
