@@ -10,13 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.llm import substring_dedup, suffix_dedup
+from ferryline.llm import exact_dedup, fingerprints, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.digest(exact_dedup.exact_dedup(docs, keep="largest"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"), width=50))
 
@@ -25,12 +30,24 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), width=13))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(fingerprints.edited_pairs(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+       count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+""",
     "op3_suffix_dedup": """
 WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
 n AS (SELECT doc_id, x, length(x) // 2 AS n_bytes FROM d),
