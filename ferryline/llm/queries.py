@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.llm import exact_dedup, fingerprints, substring_dedup, suffix_dedup
+from ferryline.llm import exact_dedup, fingerprints, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"), width=50))
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.digest(simhash_dedup.simhash_dedup(_table(spark, sf_dir, "documents"), shingle=3, radius=3))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), width=13))
 
@@ -37,6 +41,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_simhash_dedup": op4_simhash_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
