@@ -10,13 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.llm import exact_dedup, fingerprints, simhash_dedup, substring_dedup, suffix_dedup
+from ferryline.llm import exact_dedup, fingerprints, mixing, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mix_sources(_table(spark, sf_dir, "documents"), seed=20))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.digest(exact_dedup.exact_dedup(docs, keep="largest"))
@@ -39,6 +43,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_simhash_dedup": op4_simhash_dedup,
@@ -47,6 +52,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_mixing": """
+WITH n AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+m AS (SELECT s, 1.0::DOUBLE / count(*) OVER () * (sum(n) OVER ())::DOUBLE / n AS mean FROM n),
+d AS (SELECT s, mean, greatest(ceil(mean / 16.0::DOUBLE), 1)::INT AS draws FROM m),
+t AS (SELECT s, draws, k, exp(-(mean / draws) + k * ln(mean / draws) - lgamma(k + 1)) AS p
+      FROM d, range(0, 81) r(k)),
+c AS (SELECT s, draws, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS cdf FROM t),
+per AS (SELECT s, any_value(draws) AS draws, list(cdf ORDER BY k) AS cdf FROM c GROUP BY s),
+u AS (SELECT doc_id, source, text, cdf, unnest(range(1, draws + 1)) AS j
+      FROM documents JOIN per ON per.s = coalesce(source, '')),
+x AS (SELECT doc_id, source, text, sum(len(list_filter(cdf, lambda v: v <=
+        ('0x' || substr(md5('20:count:' || j || ':' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
+        / 4503599627370496.0::DOUBLE)))::INT AS copies
+      FROM u GROUP BY doc_id, source, text)
+SELECT doc_id, source, copy::INT AS copy, copies, md5('20:order:' || copy || ':' || coalesce(doc_id::VARCHAR, '')) AS "order", text
+FROM (SELECT *, unnest(range(0, copies)) AS copy FROM x)
+""",
     "op2_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
        count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
