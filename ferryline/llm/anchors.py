@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +116,7 @@ def repeated_anchors(
     shards = cells // SHARD_CELLS
 
     def partition_sketch(batches):
+        pack = zstandard.ZstdCompressor(level=1)
         held: list[list[np.ndarray]] = [[] for _ in range(rows)]
         kept = 0
 
@@ -127,7 +129,8 @@ def repeated_anchors(
                     if cut[s] < cut[s + 1]:
                         low = (cell[cut[s] : cut[s + 1]] % SHARD_CELLS).astype(np.uint32)
                         twice = (count[cut[s] : cut[s + 1]] > 1).astype(np.uint32)
-                        yield row * shards + s, (low << np.uint32(1) | twice).tobytes()
+                        marked = low << np.uint32(1) | twice
+                        yield row * shards + s, pack.compress(np.diff(marked, prepend=np.uint32(0)).tobytes())
 
         for batch in batches:
             for hashes in anchors(batch):
@@ -142,10 +145,11 @@ def repeated_anchors(
 
     def merge(batches):
         counts: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
                 count = counts.setdefault(bucket, np.zeros(SHARD_CELLS, np.uint8))
-                own = np.frombuffer(blob.as_buffer(), np.uint32)
+                own = np.cumsum(np.frombuffer(unpack.decompress(blob.as_py()), np.uint32), dtype=np.uint32)
                 cell = own >> np.uint32(1)  # each cell once
                 count[cell] = np.minimum(count[cell] + 1 + (own & np.uint32(1)).astype(np.uint8), 2)
         yield _blobs((bucket, np.packbits(count > 1).tobytes()) for bucket, count in counts.items())

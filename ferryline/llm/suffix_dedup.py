@@ -41,16 +41,21 @@ MAX_CELLS = 1 << 29
 #: Text bytes whose segments one bucket gets, on average, before the sketch
 #: takes out those that occur once.
 BUCKET_BYTES = 6 << 20
-_GRAM = 12
+#: Long enough that equal grams by chance are rare, short enough that a window
+#: holds many grams to choose its anchor from.
+_GRAM = 24
 
 
 def _grams(data: np.ndarray, gram: int) -> np.ndarray:
-    """Hash of the ``gram`` (8 to 16) bytes at each place."""
+    """Hash of the ``gram`` (8 or more) bytes at each place."""
     n = len(data) - gram + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     eight = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
-    return mixed(mixed(eight[:n]) ^ eight[gram - 8 : gram - 8 + n])
+    out = np.zeros(n, np.uint64)
+    for k in (*range(0, gram - 8, 8), gram - 8):
+        out = mixed(out ^ eight[k : k + n])
+    return out
 
 
 def _batches(texts: list[str], width: int):
@@ -79,9 +84,14 @@ def _padded(data: np.ndarray, start: np.ndarray, length: np.ndarray, most: int)
 
 
 def _first_equal(rows: np.ndarray, length: np.ndarray, rank: np.ndarray):
-    """Order by content, then ``rank``; and where each new content begins."""
-    words = rows.view(">u8").astype(np.uint64)
-    order = np.lexsort((rank, length, *words.T[::-1]))
+    """An order that puts rows of equal content together, by ``rank``; and
+    where each new content begins. (Ordered by hash and told apart by
+    content: two contents of one hash would only come in more groups.)"""
+    words = rows.view("<u8")
+    hashed = length.astype(np.uint64)
+    for k in range(words.shape[1]):
+        hashed = mixed(hashed ^ words[:, k])
+    order = np.lexsort((rank, hashed))
     words, length = words[order], length[order]
     fresh = np.r_[True, (words[1:] != words[:-1]).any(1) | (length[1:] != length[:-1])]
     return order, np.flatnonzero(fresh)
@@ -175,7 +185,7 @@ def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
 
     def candidates(batches):
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
             for owner, offset, ends, data in _batches(batch.column("text").to_pylist(), width):
@@ -292,7 +302,7 @@ def suffix_dedup(
 ) -> DataFrame:
     """Documents without the bytes covered by a ``width``-byte string that
     also starts in a document with a smaller identifier. ``width`` is at
-    least 16.
+    least 24.
 
     Returns one row per input row: ``doc_id, n_bytes, n_removed, kept``
     (the remaining bytes: cut inside a character, it is no UTF-8) and
