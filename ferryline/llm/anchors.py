@@ -11,7 +11,7 @@ all windows equal to one another meet under their anchor's hash.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,22 +70,22 @@ def window_runs(grams: np.ndarray, ends: np.ndarray, width: int, gram: int):
     return starts[first], np.diff(np.r_[first, len(starts)]), grams[anchor[first]]
 
 
-def pieces(tokens: list, width: int) -> Iterator[list[tuple[int, int, object]]]:
-    """Batches of ``(document, offset, tokens)`` of at most BATCH_TOKENS
-    tokens; ``tokens`` holds one sliceable sequence per document."""
+def pieces(tokens: Iterable, width: int, most: int = BATCH_TOKENS) -> Iterator[list[tuple[int, int, object]]]:
+    """Batches of ``(document, offset, tokens)`` of at most ``most`` tokens;
+    ``tokens`` yields one sliceable sequence per document."""
     batch, size = [], 0
     for i, own in enumerate(tokens):
         at = 0
         while True:
-            part = own[at : at + BATCH_TOKENS] if at or len(own) > BATCH_TOKENS else own
-            if size and size + len(part) > BATCH_TOKENS:
+            part = own[at : at + most] if at or len(own) > most else own
+            if size and size + len(part) > most:
                 yield batch
                 batch, size = [], 0
             batch.append((i, at, part))
             size += len(part)
-            if at + BATCH_TOKENS >= len(own):
+            if at + most >= len(own):
                 break
-            at += BATCH_TOKENS - width + 1
+            at += most - width + 1
     if batch:
         yield batch
 

@@ -10,6 +10,8 @@ grouped exactly; each group keeps the window of the smallest identifier.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,6 +37,8 @@ from ferryline.llm.common import keyed_text, restored_id
 MAX_CELLS = 1 << 29
 #: Text bytes whose windows one bucket of the second pass gets, on average.
 BUCKET_BYTES = 8 << 20
+#: Words in one numpy batch (as Python objects they take some 100 bytes each).
+BATCH_WORDS = 1 << 19
 _GRAM = 3
 
 
@@ -56,9 +60,9 @@ def _rolled(keys: np.ndarray, width: int, salt: int) -> np.ndarray:
     return out
 
 
-def _batches(texts: list[str], width: int):
+def _batches(texts: Iterable[str], width: int):
     """``(owner, offset, ends, keys)`` per batch of pieces."""
-    for batch in pieces([words_of(t) for t in texts], width):
+    for batch in pieces(map(words_of, texts), width, BATCH_WORDS):
         owner = np.array([i for i, _, _ in batch], np.int64)
         offset = np.array([at for _, at, _ in batch], np.int64)
         ends = np.cumsum([len(w) for _, _, w in batch])
@@ -80,7 +84,7 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
     buckets = max(16, size // BUCKET_BYTES)
 
     def anchors(batch: pa.RecordBatch):
-        for _, _, ends, keys in _batches(batch.column("text").to_pylist(), width):
+        for _, _, ends, keys in _batches((t.as_py() for t in batch.column("text")), width):
             yield window_runs(mixed(_rolled(keys[:, 0], gram, 0)), ends, width, gram)[2]
 
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
@@ -88,7 +92,7 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
     def candidates(batches):
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
-            for owner, offset, ends, keys in _batches(batch.column("text").to_pylist(), width):
+            for owner, offset, ends, keys in _batches((t.as_py() for t in batch.column("text")), width):
                 start, count, hashes = window_runs(mixed(_rolled(keys[:, 0], gram, 0)), ends, width, gram)
                 take = maybe_repeated(bits.value, hashes)
                 start, count, hashes = start[take], count[take], hashes[take]

@@ -14,6 +14,7 @@ it is delivered with all its occurrences.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -58,9 +59,9 @@ def _grams(data: np.ndarray, gram: int) -> np.ndarray:
     return out
 
 
-def _batches(texts: list[str], width: int):
+def _batches(texts: Iterable[str], width: int):
     """``(owner, offset, ends, bytes)`` per batch of pieces."""
-    for batch in pieces([t.encode("utf-8", "surrogatepass") for t in texts], width):
+    for batch in pieces((t.encode("utf-8", "surrogatepass") for t in texts), width):
         owner = np.array([i for i, _, _ in batch], np.int64)
         offset = np.array([at for _, at, _ in batch], np.int64)
         ends = np.cumsum([len(b) for _, _, b in batch])
@@ -179,7 +180,7 @@ def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
     buckets = max(16, size // BUCKET_BYTES)
 
     def anchors(batch: pa.RecordBatch):
-        for _, _, ends, data in _batches(batch.column("text").to_pylist(), width):
+        for _, _, ends, data in _batches((t.as_py() for t in batch.column("text")), width):
             yield window_runs(_grams(data, _GRAM), ends, width, _GRAM)[2]
 
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
@@ -188,7 +189,7 @@ def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
-            for owner, offset, ends, data in _batches(batch.column("text").to_pylist(), width):
+            for owner, offset, ends, data in _batches((t.as_py() for t in batch.column("text")), width):
                 start, count, hashes = window_runs(_grams(data, _GRAM), ends, width, _GRAM)
                 take = maybe_repeated(bits.value, hashes)
                 start, length, bucket = start[take], count[take] + width - 1, hashes[take] % np.uint64(buckets)
