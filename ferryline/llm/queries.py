@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.llm import chat_format, exact_dedup, fingerprints, mixing, packing, simhash_dedup, substring_dedup, suffix_dedup
+from ferryline.llm import chat_format, exact_dedup, fingerprints, language_id, mixing, packing, simhash_dedup, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), width=13))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
 }
