@@ -10,7 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.llm import chat_format, exact_dedup, fingerprints, language_id, mixing, packing, simhash_dedup, substring_dedup, suffix_dedup
+from ferryline.llm import (
+    chat_format,
+    exact_dedup,
+    fingerprints,
+    html_extract,
+    language_id,
+    mixing,
+    packing,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +56,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"), width=13))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(html_extract.extract(_table(spark, sf_dir, "pages")))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_html_extract": op7_html_extract,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
