@@ -17,8 +17,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ferryline.llm.common import quoted
+from ferryline.llm.common import free_name, quoted
 
 #: Documents learned from, per language, on average at most.
 SAMPLE_PER_LANGUAGE = 5_000
@@ -258,25 +259,30 @@ def _mixed(gain: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarra
     return np.maximum.reduceat(run - least, first)
 
 
-def identify(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH
+def with_language(
+    docs: DataFrame, model: Model, text_col: str = "text", switch: float = SWITCH, out: str | None = None
 ) -> DataFrame:
-    """``doc_id, lang_pred, score, spans`` of every row. ``lang_pred`` is the
-    language of most letters, ``score`` (0 to 1) their share of the letters
-    times the model's belief in that language over the whole text; ``spans``
-    (``array<struct<start, end, lang>>``, in code points) are the stretches
-    of one language, in order.
+    """Every row of ``docs``, all its columns untouched, with one struct
+    column more (``out``, or ``language`` prefixed until it clashes with
+    none): ``lang_pred, score, spans``.
+
+    ``lang_pred`` is the language of most letters, ``score`` (0 to 1) their
+    share of the letters times the model's belief in that language over the
+    whole text; ``spans`` (``array<struct<start, end, lang>>``, in code
+    points) are the stretches of one language, in order.
 
     NULL and empty texts, and texts without letters, are ``und`` with score
     0 and no spans, as is everything under a model of no languages. A text
     whose letters are all in scripts the model has not seen gets the first
     language with score 1 / languages. Long texts are read whole, decoded in
     stretches of BATCH_CHARS code points. Repeated rows each get their row;
-    an empty table gives no rows; other columns are not read.
+    an empty table gives no rows. The text column is a string.
     """
-    rows = docs.select(
-        quoted(id_col).cast("long").alias("doc_id"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text")
-    )
+    out = out or free_name(docs, "language")
+    names = docs.columns
+    text_at = [n.lower() for n in names].index(text_col.lower())
+    inner = [f"c{i}" for i in range(len(names))]
+    rows = docs.toDF(*inner)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def spans_of(path, start, length):
@@ -311,8 +317,8 @@ def identify(
         for batch in batches:
             own: dict[int, list] = {}
             held, size = [], 0
-            for i, text in enumerate(batch.column("text") if languages else ()):
-                points = code_points(text.as_py())
+            for i, text in enumerate(batch.column(text_at) if languages else ()):
+                points = code_points(text.as_py() or "")
                 for at in range(0, len(points), BATCH_CHARS):
                     part = points[at : at + BATCH_CHARS]
                     if size + len(part) > BATCH_CHARS:
@@ -334,14 +340,25 @@ def identify(
                     preds.append(languages[top])
                     scores.append(min(1.0, float(letters[top] / letters.sum()) * belief))
                 spans.append([{"start": s, "end": e, "lang": languages[x]} for s, e, x in found])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)],
-                ["doc_id", "lang_pred", "score", "spans"],
+            found = pa.StructArray.from_arrays(
+                [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)],
+                ["lang_pred", "score", "spans"],
             )
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*inner, "found"])
 
-    return rows.mapInArrow(
-        label, "doc_id long, lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
-    )
+    span = T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("lang", T.StringType())
+    found = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("spans", T.ArrayType(span))
+    schema = T.StructType([*rows.schema.fields, T.StructField("found", found)])
+    return rows.mapInArrow(label, schema).toDF(*names, out)
+
+
+def identify(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH
+) -> DataFrame:
+    """``doc_id, lang_pred, score, spans`` of every row, as
+    :func:`with_language` finds them."""
+    rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
+    return with_language(rows, model, switch=switch, out="found").select("doc_id", "found.*")
 
 
 def held_out(id_col: str = "doc_id"):
