@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,7 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
 
     def candidates(batches):
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
             for owner, offset, ends, keys in _batches((t.as_py() for t in batch.column("text")), width):
@@ -108,13 +110,13 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
                 # of the windows equal in this batch only those of the smallest
                 # identifier travel: a common passage costs one record a batch
                 order = np.lexsort((ids[own], key2, key1))
-                key1, key2, own, place, bucket = (x[order] for x in (key1, key2, own, place, bucket))
-                head = np.flatnonzero(np.r_[True, (np.diff(key1) != 0) | (np.diff(key2) != 0)])
-                least = np.repeat(ids[own[head]], np.diff(np.r_[head, len(order)]))
-                late = ids[own] > least
-                yield _batch_of(bucket, key1, key2, ids[own], ths[own], place, late)
+                head = np.flatnonzero(np.r_[True, (np.diff(key1[order]) != 0) | (np.diff(key2[order]) != 0)])
+                least = np.repeat(ids[own[order[head]]], np.diff(np.r_[head, len(order)]))
+                late = np.empty(len(order), bool)
+                late[order] = ids[own[order]] > least
+                yield _batch_of(pack, bucket, key1, key2, ids[own], ths[own], place, late)
 
-    def _batch_of(bucket, key1, key2, own, th, place, late):
+    def _batch_of(pack, bucket, key1, key2, own, th, place, late):
         order = np.argsort(bucket, kind="stable")
         cut = np.r_[np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]), len(order)]
         rows, names = [], []
@@ -125,7 +127,8 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
             s, e = _runs(own[settled], th[settled], place[settled], width)
             parts = [np.array([len(open_), len(s[0])], "<i8")]
             parts += [x[open_].astype(x.dtype, copy=False) for x in (key1, key2, own, th, place)]
-            rows.append(b"".join(np.ascontiguousarray(x).tobytes() for x in (*parts, *s, e)))
+            # in the order of the text, so all but the keys packs to little
+            rows.append(pack.compress(b"".join(np.ascontiguousarray(x).tobytes() for x in (*parts, *s, e))))
             names.append(int(bucket[pick[0]]))
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int64()), pa.array(rows, pa.binary())], ["bucket", "blob"]
@@ -134,7 +137,8 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         opened: list[list[np.ndarray]] = [[] for _ in range(5)]
         done: list[list[np.ndarray]] = [[] for _ in range(3)]
-        for blob in pdf["blob"]:
+        unpack = zstandard.ZstdDecompressor()
+        for blob in map(unpack.decompress, pdf["blob"]):
             n, m = np.frombuffer(blob, "<i8", 2)
             for k, kind in enumerate(("<u8", "<u8", "<i8", "<i8", "<i8")):
                 opened[k].append(np.frombuffer(blob, kind, n, 16 + 8 * n * k))
