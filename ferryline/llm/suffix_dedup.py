@@ -205,8 +205,7 @@ def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
                 lead = order[head]
                 rank = np.empty(len(order), np.int64)
                 sent = order[~late]
-                by = np.argsort(bucket[sent], kind="stable")
-                sent = sent[by]
+                sent = sent[np.lexsort((sent, bucket[sent]))]  # in the order of the text, which packs well
                 rank[sent] = np.arange(len(sent))
                 follow, leader = order[late], lead[group[late]]
                 by = np.argsort(rank[leader], kind="stable")
@@ -280,15 +279,14 @@ def repeat_groups(
         ids, place = np.r_[ids, fid], np.r_[place, fplace]
         start, length = np.r_[start, start[leader]], np.r_[length, length[leader]]
         pos, seg, found = interval_groups(data, start, length, ids, width)
-        rows = []
+        digests, sizes, members, begins = [], [], [], []
         for lo, hi, deep, _ in found:
-            sha = hashlib.sha256(data[pos[lo] : pos[lo] + deep].tobytes()).hexdigest()
             own = seg[lo : hi + 1]
-            begin = place[own] + pos[lo : hi + 1] - start[own]
-            rows.append(pd.DataFrame({"repeat_sha256": sha, "n_bytes": deep, "id": ids[own], "start": begin}))
-        if not rows:
-            return pd.DataFrame({"repeat_sha256": [], "n_bytes": [], "id": [], "start": []})
-        return pd.concat(rows)
+            digests += [hashlib.sha256(data[pos[lo] : pos[lo] + deep].tobytes()).hexdigest()] * len(own)
+            sizes += [int(deep)] * len(own)
+            members += ids[own].tolist()
+            begins += (place[own] + pos[lo : hi + 1] - start[own]).tolist()
+        return pd.DataFrame({"repeat_sha256": digests, "n_bytes": sizes, "id": members, "start": begins})
 
     found = (
         _bucketed(keyed_text(docs, id_col, text_col), width, max_cells)
