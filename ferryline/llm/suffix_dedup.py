@@ -286,6 +286,7 @@ def repeat_groups(
             sizes += [int(deep)] * len(own)
             members += ids[own].tolist()
             begins += (place[own] + pos[lo : hi + 1] - start[own]).tolist()
+        digests = pd.Series(digests, dtype=object)
         return pd.DataFrame({"repeat_sha256": digests, "n_bytes": sizes, "id": members, "start": begins})
 
     found = (
