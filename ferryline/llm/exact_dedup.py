@@ -1,8 +1,8 @@
 """Exact dedup by content sort.
 
-Rows are range-partitioned by their normalised content at sampled splitters
-and sorted (externally, with spill), so equal contents lie side by side in
-one task; a window over the sorted rows compares whole neighbouring contents
+Rows are range-partitioned by their normalised content (its first characters,
+then a hash) at sampled splitters and sorted, externally with spill, so equal
+contents lie side by side in one task; a window over the sorted rows compares whole neighbouring contents
 and settles each run of equals. A content that holds a large share of the
 rows is dealt by a second key into many ranges; each settles its part, and
 the few part results (one per range) are combined.
@@ -17,6 +17,9 @@ from ferryline.llm.common import checkpointed, free_name, quoted, shuffle_partit
 
 #: Groups of up to this many rows are never dealt out.
 SMALL_GROUP = 64
+#: Characters of a content that splitters hold; contents that agree in all of
+#: them are ordered by a hash, then compared whole.
+SPLITTER_CHARS = 32
 
 
 def same(text: Column) -> Column:
@@ -75,13 +78,16 @@ def exact_dedup(
         )
     )
     deal = F.pmod(F.xxhash64("ident"), F.col("ranges")).cast("int")
-    dealt = rows.join(F.broadcast(hot), "h", "left").withColumn("deal", F.coalesce(deal, F.lit(-1))).drop("h", "ranges")
+    dealt = rows.join(F.broadcast(hot), "h", "left").withColumn("deal", F.coalesce(deal, F.lit(-1))).drop("ranges")
+    # splitters are sampled over the first characters, then a hash, so that
+    # what the sample sends to the driver doesn't grow with the texts' length
+    dealt = dealt.withColumn("start", F.substring("content", 1, SPLITTER_CHARS))
 
     ordered = F.col("ident").asc_nulls_last() if keep == "smallest" else F.col("ident").desc_nulls_last()
-    run = Window.partitionBy("content", "deal").orderBy(ordered)
+    run = Window.partitionBy("start", "h", "content", "deal").orderBy(ordered)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     settled = (
-        dealt.repartitionByRange(parts, "content", "deal")
+        dealt.repartitionByRange(parts, "start", "h", "deal")
         .withColumn("best", F.first("ident").over(whole))
         .withColumn("n", F.count(F.lit(1)).over(whole))
         .withColumn("place", F.row_number().over(run))
