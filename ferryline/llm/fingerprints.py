@@ -136,7 +136,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
     before = {first: firsts[k - 1][0] for k, (_, first) in enumerate(firsts)}
     if not before:
-        return docs.select("*", F.lit("").alias("next"), F.lit(False).alias("guest")).limit(0)
+        nowhere = (F.lit(x).alias(c) for c, x in (("part", 0), ("round", 0), ("guest", False), ("next", "")))
+        return docs.select("*", *nowhere).limit(0)
     pairs = [x for first, part in before.items() for x in (F.lit(first).cast("long"), F.lit(part))]
     guest_of = F.element_at(F.create_map(*pairs), F.col("id"))
     wrap = firsts[0][1]

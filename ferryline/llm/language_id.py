@@ -268,7 +268,7 @@ def with_language(
 
     ``lang_pred`` is the language of most letters, ``score`` (0 to 1) their
     share of the letters times the model's belief in that language over the
-    whole text; ``spans`` (``array<struct<start, end, lang>>``, in code
+    words so labelled; ``spans`` (``array<struct<start, end, lang>>``, in code
     points) are the stretches of one language, in order.
 
     NULL and empty texts, and texts without letters, are ``und`` with score
@@ -291,7 +291,8 @@ def with_language(
         return list(zip(start[a].tolist(), (start[b] + length[b]).tolist(), path[a].tolist(), strict=True))
 
     def stretch(own, texts, tables):
-        """Adds to each text's letters by language, scores and spans."""
+        """Adds to each text's letters by language, scores (of the words
+        labelled so, in each language) and spans."""
         model = sent.value
         points = np.concatenate([np.r_[p, np.uint32(10)] for _, _, p in texts])
         ends = np.cumsum([len(p) + 1 for _, _, p in texts])
@@ -301,13 +302,14 @@ def with_language(
         scores = word_scores(model, length, script, cell, word)
         text = np.searchsorted(ends, start, "right")
         which, first, counts = np.unique(text, return_index=True, return_counts=True)
-        path, total = decode(scores, counts, switch)
-        for k, a, n, sums in zip(which.tolist(), first.tolist(), counts.tolist(), total, strict=True):
+        path, _ = decode(scores, counts, switch)
+        for k, a, n in zip(which.tolist(), first.tolist(), counts.tolist(), strict=True):
             i, at, _ = texts[k]
             part = slice(a, a + n)
-            state = own.setdefault(i, [np.zeros(len(model.languages)), np.zeros(len(model.languages)), []])
-            state[0] += np.bincount(path[part], length[part], len(model.languages))
-            state[1] += sums
+            several = len(model.languages)
+            state = own.setdefault(i, [np.zeros(several), np.zeros((several, several)), []])
+            state[0] += np.bincount(path[part], length[part], several)
+            np.add.at(state[1], path[part], scores[part])
             base = at - (int(ends[k - 1]) if k else 0)
             state[2] += [(s + base, e + base, lang) for s, e, lang in spans_of(path[part], start[part], length[part])]
 
@@ -336,7 +338,7 @@ def with_language(
                     scores.append(0.0)
                 else:
                     top = int(letters.argmax())
-                    belief = 1.0 / float(np.exp(np.minimum(sums - sums[top], 700)).sum())
+                    belief = 1.0 / float(np.exp(np.minimum(sums[top] - sums[top, top], 700)).sum())
                     preds.append(languages[top])
                     scores.append(min(1.0, float(letters[top] / letters.sum()) * belief))
                 spans.append([{"start": s, "end": e, "lang": languages[x]} for s, e, x in found])
