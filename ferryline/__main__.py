@@ -55,11 +55,7 @@ def main(argv=None) -> None:
     p.add_argument(
         "--skip-blank-lines",
         action="store_true",
-        help="publish: drop each file's first line by position and skip blank lines (files with different "
-        "headers); default: blank lines are messages too and the header is dropped by content",
-    )
-    p.add_argument(
-        "--header-line", help="publish: header text to drop when keeping blank lines (default: the first file's)"
+        help="publish: skip blank lines (default: they are messages too); line 1 of each file is dropped either way",
     )
     p.add_argument("--starting-offsets", default="earliest")
     p.add_argument("--max-offsets-per-trigger", type=int, help="default: 1,000,000 per core")
@@ -91,7 +87,6 @@ def main(argv=None) -> None:
             _topic(args, LINE_TOPIC, root),
             partition=args.partition,
             keep_blank_lines=not args.skip_blank_lines,
-            header_line=args.header_line,
         )
         return
     cores = spark.sparkContext.defaultParallelism

@@ -95,12 +95,23 @@ def _accident_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_lines(spark, _accident_csv(spark, sf_dir))
+    """The header's text stands among the lines too (once for every nation)
+    and is data there."""
+    again = table(spark, sf_dir, "nation").select(F.lit(CSV_HEADER).alias("value"))
+    path = fresh_dir(spark, "accident-csv")
+    write_lines(accident_lines(table(spark, sf_dir, "lineitem")).unionByName(again), path, header=CSV_HEADER)
+    return raw_lines(spark, path)
 
 
 def raw_line_scan_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The per-file mode: each file's first line dropped by position."""
-    return raw_lines(spark, _accident_csv(spark, sf_dir), keep_blank_lines=False)
+    """Files with different first lines (some blank), blank lines skipped."""
+    orders = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    line = F.when(st == "P", F.lit("  ")).otherwise(F.concat_ws(",", _s("o_orderkey"), st))
+    path = fresh_dir(spark, "orders-lines")
+    for status, first in (("F", ""), ("O", "o_orderkey,o_orderstatus"), ("P", "o_orderkey;o_orderstatus")):
+        write_lines(orders.where(st == status).select(line.alias("value")), f"{path}/status={status}", header=first)
+    return raw_lines(spark, f"{path}/*", keep_blank_lines=False)
 
 
 def publish_keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -557,8 +568,13 @@ _ROUTE_UNION = (
 )
 
 ORACLES: dict[str, str] = {
-    "raw_line_scan": f"SELECT {_DUCK_LINE} AS value FROM lineitem",
-    "raw_line_scan_by_position": f"SELECT {_DUCK_LINE} AS value FROM lineitem",
+    "raw_line_scan": (
+        f"SELECT {_DUCK_LINE} AS value FROM lineitem UNION ALL SELECT {_lit(CSV_HEADER)} AS value FROM nation"
+    ),
+    "raw_line_scan_by_position": (
+        "SELECT CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus AS value FROM orders "
+        "WHERE o_orderstatus IN ('F', 'O')"
+    ),
     "publish_keyed_lines": (
         f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic "
         f"FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"

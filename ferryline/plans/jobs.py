@@ -47,11 +47,10 @@ def publish_lines(
     header: bool = True,
     partition: int | None = None,
     keep_blank_lines: bool = True,
-    header_line: str | None = None,
 ) -> None:
-    """Batch job: every data line of the file(s) becomes one message
+    """Batch job: every line but the first of each file becomes one message
     (blank lines too unless ``keep_blank_lines=False``, see :func:`raw_lines`)."""
-    lines = raw_lines(spark, path, header, keep_blank_lines=keep_blank_lines, header_line=header_line)
+    lines = raw_lines(spark, path, header, keep_blank_lines=keep_blank_lines)
     write_topic(keyed_messages(lines, topic.name, partition=partition), topic)
 
 

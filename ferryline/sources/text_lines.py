@@ -2,88 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Field separator for reading/writing a line as one CSV field: a line is cut
-# at line breaks before it is parsed, so it can never contain one, and no
-# character of the line (control characters included) splits or quotes it.
-_NO_SPLIT = "\n"
-_BOM = "\ufeff"
 # monotonically_increasing_id = task index * 2**33 + row number within the task
 _TASK_ROWS = 1 << 33
 
 
-def raw_lines(
-    spark: SparkSession,
-    path: str,
-    header: bool = True,
-    keep_blank_lines: bool = True,
-    header_line: str | None = None,
-) -> DataFrame:
-    """Each line of the file(s) as one ``value`` string, the header dropped
-    when ``header``. Lines are whole: quotes, backslashes, control
-    characters and outer blanks stay as they are. Files are cut into splits
-    by ``spark.sql.files.maxPartitionBytes``, so a large file is read by
-    many tasks.
+def raw_lines(spark: SparkSession, path: str, header: bool = True, keep_blank_lines: bool = True) -> DataFrame:
+    """Each line of the file(s) as one ``value`` string, line 1 of every
+    file dropped when ``header``. Lines are whole: quotes, backslashes,
+    control characters and outer blanks stay as they are.
 
-    Default (``keep_blank_lines=True``), as the original line reader: every
-    line is a value, blank and whitespace-only lines too (each becomes a
-    message with an empty or blank key and value). Read with the text
-    source; the header is dropped by content within the split that starts
-    each file: ``header_line``, or when not given the first file's header,
-    read from that one line, so the files are expected to share it (a data
-    line equal to it is dropped too when it lies in that first split).
+    The header is known by its place alone: whatever the first line of a
+    file holds (blank, unlike other files' headers) is dropped, and a line
+    that equals it anywhere else is data. The result does not depend on how
+    files are cut into splits or packed into tasks.
 
-    ``keep_blank_lines=False``: for files with different headers. The CSV
-    reader drops the first line of every file by position (only the split
-    that starts the file does), with the line break as separator (never
-    inside a line) and quoting off, so a line is one field; it skips blank
-    and whitespace-only lines.
+    Blank and whitespace-only lines are values too (each becomes a message
+    with an empty or blank key and value); ``keep_blank_lines=False`` skips
+    them. Files are cut into splits by ``spark.sql.files.maxPartitionBytes``
+    (compressed ones are not), so a large file is read by many tasks.
     """
-    if keep_blank_lines:
-        lines = spark.read.text(path)
-        if not header:
-            return lines
-        if header_line is None:
-            header_line = first_header(spark, path)
-        if header_line is None:  # no non-blank line anywhere: nothing to drop
-            return lines
-        core = header_line.lstrip(_BOM)
-        # Only the split that starts a file can hold its header (which may
-        # carry a byte-order mark); a line equal to it anywhere else is data.
-        is_header = lines.value.isin(core, _BOM + core) & (F.col("_metadata.file_block_start") == 0)
-        return lines.where(~is_header).select("value")
-    return _line_reader(spark, header).schema("value string").option("enforceSchema", True).csv(path)
-
+    lines = spark.read.text(path)
+    if header:
+        placed = lines.select(
+            "value",
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+        )
+        lines = placed.mapInArrow(_line_dropper(), "value string")
+    if not keep_blank_lines:
+        lines = lines.where(F.trim("value") != "")
+    return lines
 
-def first_header(spark: SparkSession, path: str) -> str | None:
-    """The header line (first non-blank line) of the first file, verbatim;
-    None when the input has no non-blank line.
 
-    Read as the name of the single column the line reader sees, so only
-    that one line is read and only it reaches the driver.
-    """
-    try:
-        columns = _line_reader(spark, True).csv(path).columns
-    except AnalysisException as err:
-        if err.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no data files at all
-            return None
-        raise  # a missing path or unreadable input is an error, not "no header"
-    return columns[0] if columns else None
+def _line_dropper() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Drops line 1 of every file, batch by batch. (An inner function, so it
+    travels to the executors with the job.)"""
 
+    def without_first_lines(batches):
+        # a task reads its splits one after the other, each from its start;
+        # the first row of a split that begins at byte 0 is line 1 of a file
+        path = block = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            paths, blocks = batch.column("path"), batch.column("block")
+            fresh = pc.or_(pc.not_equal(paths[1:], paths[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))
+            opens = paths[0].as_py() != path or blocks[0].as_py() != block
+            first = pa.concat_arrays([pa.array([opens], pa.bool_()), fresh])
+            path, block = paths[-1].as_py(), blocks[-1].as_py()
+            yield batch.select(["value"]).filter(pc.invert(pc.and_(first, pc.equal(blocks, 0))))
 
-def _line_reader(spark: SparkSession, header: bool):
-    return (
-        spark.read.option("header", header)
-        .option("sep", _NO_SPLIT)
-        .option("quote", "")
-        .option("escape", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "PERMISSIVE")
-    )
+    return without_first_lines
 
 
 def write_lines(df: DataFrame, path: str, header: str | None = None, line_col: str = "value") -> None:

@@ -155,20 +155,7 @@ def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
         f.write("H1,H2\r\na,b\r\n\r\nc,d\r\n")
     assert sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect()) == ["a,b", "c,d"]
     assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["", "a,b", "c,d"]
-    kept = raw_lines(spark, tmp_root, keep_blank_lines=True, header_line="H1,H2").collect()
-    assert sorted(r.value for r in kept) == ["", "a,b", "c,d"]
-    detected = raw_lines(spark, tmp_root, keep_blank_lines=True).collect()  # header read from the file
-    assert sorted(r.value for r in detected) == ["", "a,b", "c,d"]
-
-
-def test_first_header_is_read_verbatim(spark, tmp_root):
-    from ferryline.sources.text_lines import first_header
-
-    with open(os.path.join(tmp_root, "f.csv"), "w") as f:
-        f.write('  Event.Id,"Loc, X" ,Make \na,b\n\n   \nc\n')
-    assert first_header(spark, tmp_root) == '  Event.Id,"Loc, X" ,Make '
-    kept = sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=True).collect())
-    assert kept == ["", "   ", "a,b", "c"]  # blank and whitespace-only lines are messages too
+    assert raw_lines(spark, tmp_root, header=False).count() == 4
 
 
 def test_rate_limits_sized_to_cluster():
@@ -230,16 +217,12 @@ def test_header_with_byte_order_mark_is_dropped(spark, tmp_root):
     with open(os.path.join(tmp_root, "f.csv"), "w", encoding="utf-8-sig") as f:
         f.write("H1,H2\na,b\n\nc\n")
     assert sorted(r.value for r in raw_lines(spark, tmp_root).collect()) == ["", "a,b", "c"]
-    assert sorted(r.value for r in raw_lines(spark, tmp_root, header_line="H1,H2").collect()) == ["", "a,b", "c"]
 
 
 def test_raw_lines_of_empty_input(spark, tmp_root):
-    from ferryline.sources.text_lines import first_header
-
     empty_dir = os.path.join(tmp_root, "none")
     os.makedirs(empty_dir)
     open(os.path.join(empty_dir, "empty.csv"), "w").close()
-    assert first_header(spark, empty_dir) is None
     assert raw_lines(spark, empty_dir).count() == 0
     assert raw_lines(spark, empty_dir, keep_blank_lines=False).count() == 0
 
@@ -255,25 +238,26 @@ def test_write_lines_keeps_empty_and_blank_lines(spark):
     assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(text)
 
 
-def test_first_header_of_missing_path_is_an_error(spark, tmp_root):
-    from pyspark.errors import AnalysisException
-
-    from ferryline.sources.text_lines import first_header
-
-    os.makedirs(os.path.join(tmp_root, "nofiles"))
-    assert first_header(spark, os.path.join(tmp_root, "nofiles")) is None
-    with pytest.raises(AnalysisException):
-        first_header(spark, os.path.join(tmp_root, "missing"))
-
-
-def test_header_text_past_the_first_split_is_data(spark, tmp_root):
-    text = [f"{i},x{i}" for i in range(3000)] + ["H1,H2"] + [f"tail{i}" for i in range(10)]
-    with open(os.path.join(tmp_root, "f.csv"), "w") as f:
-        f.write("\n".join(["H1,H2"] + text) + "\n")
+@pytest.mark.parametrize("split", ["8k", "128m"])
+def test_header_is_line_one_of_each_file_and_nothing_else(spark, tmp_root, split):
+    """Plain and compressed files, a blank first line, headers that differ, a
+    header repeated as data at once and far on, many files in one task."""
+    import gzip
+
+    expected = []
+    for i in range(24):
+        first = ["H1,H2", "", "A,B", "C;D"][i % 4]
+        text = ["H1,H2", ""] + [f"{i},x{j}" for j in range(40 if i % 6 else 1500)] + [first, "H1,H2", f"tail{i}"]
+        expected += text
+        name, opened = (f"{i}.csv.gz", gzip.open) if i % 3 == 0 else (f"{i}.csv", open)
+        with opened(os.path.join(tmp_root, name), "wt") as f:
+            f.write("\n".join([first, *text]) + "\n")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        got = sorted(r.value for r in raw_lines(spark, tmp_root).collect())
+        found = sorted(r.value for r in raw_lines(spark, tmp_root).collect())
+        dense = sorted(r.value for r in raw_lines(spark, tmp_root, keep_blank_lines=False).collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got == sorted(text)  # the header line near the end is a data line, kept
+    assert found == sorted(expected)
+    assert dense == sorted(x for x in expected if x)
