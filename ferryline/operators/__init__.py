@@ -11,14 +11,12 @@ from ferryline.operators.changes import (
 )
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
-from ferryline.operators.partitioning import ensure_parallelism
 from ferryline.operators.typed import Route, route_records, typed_select
 
 __all__ = [
     "Route",
     "after_text",
     "decode_messages",
-    "ensure_parallelism",
     "expand_struct",
     "keep_fields",
     "keyed_messages",

@@ -49,19 +49,21 @@ def keep_fields(schema: T.StructType, names) -> T.StructType:
 
 
 def unwrap_after(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Envelope -> the fields of ``payload.after`` in one JSON parse.
-
-    A nested schema ``payload struct<after: schema>`` lets the parser walk
-    the envelope once; column pruning then shrinks the parse to the fields
-    the caller selects.
+    """Envelope -> the fields of ``payload.after``, in one projection.
+
+    The text of ``$.payload``, the text of its ``$.after``, then one parse
+    with ``schema``, so the result is that of :func:`unwrap_after_three_step`
+    for every message: also where ``payload`` or ``after`` is itself JSON
+    text, holds raw control characters, or occurs twice (the first counts). A
+    single parse with a nested schema is about 1.8 times as fast and gives
+    other rows for all of these. Callers narrow ``schema`` to the fields
+    they use (:func:`keep_fields`).
     """
-    envelope = T.StructType(
-        [T.StructField("payload", T.StructType([T.StructField("after", schema, True)]), True)]
-    )
-    return df.select(parse_json(value_col, envelope).alias("__env")).select("__env.payload.after.*")
+    after = json_path(json_path(value_col, "$.payload"), "$.after")
+    return df.select(parse_json(after, schema).alias("__data")).select("__data.*")
 
 
 def unwrap_after_three_step(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Same result as :func:`unwrap_after`, step by step: payload text,
-    after text, parse, expand (three JSON passes per message)."""
+    """Same result as :func:`unwrap_after`, as separate operators: payload
+    text, after text, parse, expand."""
     return expand_struct(with_parsed(after_text(payload_text(df, value_col)), schema))

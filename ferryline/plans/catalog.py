@@ -30,7 +30,6 @@ from ferryline.operators.changes import (
 )
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
-from ferryline.operators.partitioning import ensure_parallelism
 from ferryline.operators.typed import Route, route_records
 from ferryline.plans.derive import accident_changes, accident_line_sql, accident_lines, change_ops, envelope
 from ferryline.plans.jobs import (
@@ -66,8 +65,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the cluster when it is a single small split."""
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A given table, read in the splits Spark cuts it into."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _await(query) -> None:
@@ -120,13 +119,6 @@ def publish_keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(read_topic(spark, topic))
 
 
-def publish_pinned_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The original single-partition mode: every message in partition 1."""
-    topic = TopicConfig(LINE_TOPIC, path=fresh_dir(spark, "topic-pinned"))
-    publish_lines(spark, _accident_csv(spark, sf_dir), topic, partition=1)
-    return decode_messages(read_topic(spark, topic), keep=("topic", "partition"))
-
-
 BLANK_LINES_HEADER = "o_orderkey,o_orderstatus,o_orderpriority"
 
 
@@ -291,6 +283,44 @@ def cdc_delete_null_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrap_after(changes, string_struct(DELETE_SCHEMA_FIELDS))
 
 
+def cdc_unwrap_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of every odd shape: ``after`` or ``payload`` as JSON text, a
+    raw control character in a value, either of them twice, a delete, and
+    an ``after`` that only the second ``payload`` has."""
+    events = table(spark, sf_dir, "events")
+
+    def after(kind):
+        return F.concat(
+            F.lit('{"event_id":"'), _s("event_id"), F.lit('","event_type":"'), kind, F.lit('","user_id":"'),
+            _s("user_id"), F.lit('"}'),
+        )
+
+    def text(json):
+        return F.concat(F.lit('"'), F.replace(F.replace(json, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+
+    def message(*payloads):
+        inner = [x for p in payloads for x in (F.lit(',"payload":'), p)][1:]
+        return F.concat(F.lit('{"payload":'), *inner, F.lit("}"))
+
+    def payload(*afters):
+        inner = [x for a in afters for x in (F.lit(',"after":'), a)][1:]
+        return F.concat(F.lit('{"after":'), *inner, F.lit("}"))
+
+    own, other = after(F.col("event_type")), after(F.lit("other"))
+    shape = F.pmod(F.col("event_id"), F.lit(8))
+    value = (
+        F.when(shape == 0, message(payload(own)))
+        .when(shape == 1, message(payload(text(own))))
+        .when(shape == 2, message(text(payload(own))))
+        .when(shape == 3, message(payload(after(F.concat(F.col("event_type"), F.lit("\tx"))))))
+        .when(shape == 4, message(payload(own, other)))
+        .when(shape == 5, message(payload(own), payload(other)))
+        .when(shape == 6, message(payload(F.lit("null"))))
+        .otherwise(message(F.lit('{"op":"c"}'), payload(own)))
+    )
+    return unwrap_after(events.select(value.alias("value")), string_struct(DELETE_SCHEMA_FIELDS))
+
+
 # ------------------------------------------------------------------ casts
 
 
@@ -435,7 +465,7 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     after = F.struct(_s("event_id").alias("event_id"), F.col("event_type"), _s("user_id").alias("user_id"))
     messages = events.select("ts", _s("event_id").alias("key"), envelope(after, F.lit("c")).alias("value"))
-    early = F.col("ts") < F.lit(RESUME_SPLIT).cast("timestamp_ntz")
+    early = F.coalesce(F.col("ts") < F.lit(RESUME_SPLIT).cast("timestamp_ntz"), F.lit(False))
     topic = TopicConfig("events_changes", path=fresh_dir(spark, "topic-events"))
     sink = FileTableSink(fresh_dir(spark, "table-events"))
     checkpoint = fresh_dir(spark, "ckpt-events")
@@ -456,7 +486,6 @@ QUERIES: dict[str, Query] = {
     "raw_line_scan": raw_line_scan,
     "raw_line_scan_by_position": raw_line_scan_by_position,
     "publish_keyed_lines": publish_keyed_lines,
-    "publish_pinned_partition": publish_pinned_partition,
     "publish_blank_lines": publish_blank_lines,
     "kafka_row_decode": kafka_row_decode,
     "split_positional_projection": split_positional_projection,
@@ -471,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "cdc_unwrap": cdc_unwrap,
     "cdc_unwrap_three_step": cdc_unwrap_three_step,
     "cdc_delete_null_row": cdc_delete_null_row,
+    "cdc_unwrap_shapes": cdc_unwrap_shapes,
     "lenient_cast_int": lenient_cast_int,
     "lenient_cast_int_edges": lenient_cast_int_edges,
     "lenient_cast_timestamp": lenient_cast_timestamp,
@@ -579,10 +609,6 @@ ORACLES: dict[str, str] = {
         f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic "
         f"FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
     ),
-    "publish_pinned_partition": (
-        f"SELECT split_part(line, ',', 1) AS key, replace(line, '\"', '') AS value, {_lit(LINE_TOPIC)} AS topic, "
-        f"1 AS partition FROM (SELECT {_DUCK_LINE} AS line FROM lineitem)"
-    ),
     "publish_blank_lines": (
         f"SELECT split_part(line, ',', 1) AS key, line AS value, {_lit(LINE_TOPIC)} AS topic FROM "
         "(SELECT CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN '   ' "
@@ -639,16 +665,23 @@ ORACLES: dict[str, str] = {
         "CASE WHEN event_type IN ('click', 'purchase') THEN event_type END AS event_type, "
         "CASE WHEN event_type IN ('click', 'purchase') THEN CAST(user_id AS VARCHAR) END AS user_id FROM events"
     ),
+    "cdc_unwrap_shapes": (
+        "SELECT CASE WHEN event_id % 8 < 6 THEN CAST(event_id AS VARCHAR) END AS event_id, "
+        "CASE WHEN event_id % 8 = 3 THEN event_type || chr(9) || 'x' WHEN event_id % 8 < 6 THEN event_type END AS event_type, "
+        "CASE WHEN event_id % 8 < 6 THEN CAST(user_id AS VARCHAR) END AS user_id FROM events"
+    ),
     "lenient_cast_int": (
-        "WITH r AS (SELECT event_id, CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' In' "
+        "WITH r AS (SELECT event_id, user_id, value, CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' In' "
         "WHEN 2 THEN ' ' || CAST(user_id AS VARCHAR) || ' ' WHEN 3 THEN CAST(user_id AS VARCHAR) "
         "WHEN 4 THEN NULL WHEN 5 THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) "
         "WHEN 6 THEN '-' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) "
         "ELSE CAST(user_id AS VARCHAR) || '99999999999' END AS raw FROM events) "
-        f"SELECT event_id, raw, {_duck_lenient_int('raw')} AS as_int FROM r"
+        "SELECT event_id, raw, CASE event_id % 8 WHEN 2 THEN CAST(user_id AS INTEGER) "
+        "WHEN 3 THEN CAST(user_id AS INTEGER) WHEN 5 THEN CAST(trunc(CAST(value AS DECIMAL(18,2))) AS INTEGER) "
+        "WHEN 6 THEN -CAST(trunc(CAST(value AS DECIMAL(18,2))) AS INTEGER) END AS as_int FROM r"
     ),
     "lenient_cast_int_edges": (
-        "WITH r AS (SELECT event_id, CASE event_id % 9 "
+        "WITH r AS (SELECT event_id, user_id, value, CASE event_id % 9 "
         "WHEN 0 THEN '.' || CAST(user_id AS VARCHAR) "
         "WHEN 1 THEN CAST(user_id AS VARCHAR) || '.' "
         "WHEN 2 THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || 'x' "
@@ -658,7 +691,9 @@ ORACLES: dict[str, str] = {
         "WHEN 6 THEN '-.' || CAST(user_id AS VARCHAR) "
         "WHEN 7 THEN CAST(user_id AS VARCHAR) || ' .5' "
         "ELSE '+' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS raw FROM events) "
-        f"SELECT event_id, raw, {_duck_lenient_int('raw')} AS as_int FROM r"
+        "SELECT event_id, raw, CASE event_id % 9 WHEN 0 THEN 0 WHEN 1 THEN CAST(user_id AS INTEGER) "
+        "WHEN 5 THEN CAST(user_id AS INTEGER) WHEN 6 THEN 0 "
+        "WHEN 8 THEN CAST(trunc(CAST(value AS DECIMAL(18,2))) AS INTEGER) END AS as_int FROM r"
     ),
     "lenient_cast_timestamp": (
         "WITH r AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "

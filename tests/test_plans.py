@@ -1,8 +1,7 @@
 """Plan shape of the registered batch queries (from ``explain``).
 
-Every operator here is a projection, so a plan may hold no shuffle other
-than the parallelism floor's round-robin exchange, no join, aggregate or
-sort, and no Python evaluation; scans read only the columns used, and a
+Every operator here is a projection, so a plan may hold no shuffle, join,
+aggregate or sort, and no Python evaluation; scans read only the columns used, and a
 route parses only its own fields.
 """
 
@@ -38,9 +37,8 @@ def narrow_problems(plan: str) -> list[str]:
     """What keeps a formatted plan from being scan -> project -> output."""
     problems = [op for op in FORBIDDEN if op in plan]
     exchanges = re.findall(r"^\(\d+\) (?:Exchange|ShuffleExchange)\b", plan, flags=re.M)
-    round_robin = re.findall(r"Arguments: RoundRobinPartitioning\(", plan)
-    if len(exchanges) != len(round_robin) or len(exchanges) > 1:
-        problems.append(f"{len(exchanges)} exchanges, {len(round_robin)} round-robin")
+    if exchanges:
+        problems.append(f"{len(exchanges)} exchanges")
     return problems
 
 
@@ -49,7 +47,7 @@ def test_plan_check_catches_a_shuffle(spark):
     assert narrow_problems(plan_text(df.select("id"))) == []
     assert narrow_problems(plan_text(df.groupBy((df.id % 3).alias("k")).count())) != []
     assert narrow_problems(plan_text(df.repartition(4, "id"))) != []
-    assert narrow_problems(plan_text(df.repartition(4))) == []
+    assert narrow_problems(plan_text(df.repartition(4))) != []
 
 
 @pytest.mark.parametrize("name", BATCH)

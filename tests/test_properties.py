@@ -68,3 +68,39 @@ def test_lenient_timestamp_equals_legacy_cast(spark, texts):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert ours == legacy, [(t, a, b) for t, a, b in zip(texts, ours, legacy) if a != b]
+
+
+def test_unwrap_equals_the_three_steps_on_mutated_envelopes(spark):
+    import json
+    import random
+
+    from ferryline.operators.changes import unwrap_after, unwrap_after_three_step
+    from ferryline.schemas import string_struct
+
+    r = random.Random(4)
+    names = ("event_id", "make", "model")
+    odd = ["", "x", 'q"uote', "tab\there", "back\\slash", "null", "{}", "é", "1"]
+    values = [None, "", "[]", "{}", "not json", '{"payload":null}', '{"payload":{"after":null}}', '{"payload":7}']
+    for _ in range(600):
+        after = {n: r.choice(odd + [None, 3, {"k": 1}]) for n in r.sample(names, r.randint(0, 3))}
+        text = json.dumps(after, ensure_ascii=r.random() < 0.5)
+        if r.random() < 0.2:
+            text = text.replace("\\t", "\t")  # a raw control character
+        if r.random() < 0.2:
+            text = json.dumps(text)  # JSON text instead of an object
+        parts = [f'"after":{text}'] + ['"before":null'] * r.randint(0, 1) + [f'"after":{{"make":"again{r.random()}"}}'] * (r.random() < 0.2)
+        r.shuffle(parts)
+        payload = "{" + ",".join(parts) + "}"
+        if r.random() < 0.15:
+            payload = json.dumps(payload)
+        parts = [f'"payload":{payload}'] + ['"payload":{"op":"c"}'] * (r.random() < 0.2) + ['"schema":{"payload":1}'] * r.randint(0, 1)
+        r.shuffle(parts)
+        value = "{" + ",".join(parts) + "}"
+        values.append(value[: r.randint(0, len(value))] if r.random() < 0.2 else value)
+    df = spark.createDataFrame([(v,) for v in values], "value string").coalesce(1)
+    schema = string_struct(names)
+    assert unwrap_after(df, schema).collect() == unwrap_after_three_step(df, schema).collect()
+    narrowed = string_struct(names[:1])
+    assert [x.event_id for x in unwrap_after(df, narrowed).collect()] == [
+        x.event_id for x in unwrap_after_three_step(df, schema).collect()
+    ]
