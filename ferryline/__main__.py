@@ -7,17 +7,19 @@
 (``python -m ferryline ...`` works the same for a local run.)
 
 Without ``--servers`` topics are file-backed folders under the shared root.
-Each streaming job gets its own checkpoint folder (``--checkpoint`` or
-``<shared root>/checkpoints/<job>``), so the two never share offsets.
-JDBC credentials are read from Spark conf keys under ``--jdbc-conf``
-(``<prefix>.url``, ``.user``, ``.password``, ``.driver``).
+Each streaming job gets its own checkpoint folder for each topic
+(``--checkpoint`` or ``<shared root>/checkpoints/<job>/<topic>``), so no two
+share offsets. The JDBC connection is read from Spark conf keys under
+``--jdbc-conf`` (``<prefix>.url``, ``.user``, ``.password``, ``.driver``,
+``.batch_size``, ``.num_partitions``, ``.isolation_level`` and
+``.options.<name>``).
 """
 
 from __future__ import annotations
 
 import argparse
 
-from ferryline.config import JdbcConfig, TopicConfig, sized_to_cluster
+from ferryline.config import MAX_FILES_PER_TRIGGER, MAX_OFFSETS_PER_TRIGGER, JdbcConfig, TopicConfig
 from ferryline.plans.jobs import DEFAULT_ROUTES, ingest_lines, publish_lines, route_changes
 from ferryline.schemas import CHANGE_TOPIC, INGEST_TABLE, LINE_TOPIC
 from ferryline.session import build_session
@@ -36,6 +38,7 @@ def _topic(args, default_name: str, root: str) -> TopicConfig:
         max_offsets_per_trigger=args.max_offsets_per_trigger,
         max_files_per_trigger=args.max_files_per_trigger,
         min_partitions=args.min_partitions,
+        options=dict(pair.split("=", 1) for pair in args.kafka_option),
     )
 
 
@@ -58,9 +61,12 @@ def main(argv=None) -> None:
         help="publish: skip blank lines (default: they are messages too); line 1 of each file is dropped either way",
     )
     p.add_argument("--starting-offsets", default="earliest")
-    p.add_argument("--max-offsets-per-trigger", type=int, help="default: 1,000,000 per core")
-    p.add_argument("--max-files-per-trigger", type=int, help="default: 4 per core")
-    p.add_argument("--min-partitions", type=int, help="default: the core count")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="default: %(default)s")
+    p.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER, help="default: %(default)s")
+    p.add_argument("--min-partitions", type=int, help="Kafka: read each batch in at least so many tasks")
+    p.add_argument(
+        "--kafka-option", action="append", default=[], metavar="KEY=VALUE", help="any Kafka source or sink option"
+    )
     p.add_argument("--jdbc-conf", help="Spark conf prefix holding the JDBC url/user/password/driver")
     p.add_argument("--table-root", help="folder for file tables when no JDBC sink is given")
     p.add_argument("--checkpoint")
@@ -76,7 +82,8 @@ def main(argv=None) -> None:
     spark = build_session(f"ferryline-{args.job}")
     root = shared_root(spark)
     trigger = {"availableNow": True} if args.available_now else None
-    checkpoint = args.checkpoint or f"{root}/checkpoints/{args.job}"
+    default_topic = CHANGE_TOPIC if args.job == "route" else LINE_TOPIC
+    checkpoint = args.checkpoint or f"{root}/checkpoints/{args.job}/{args.topic or default_topic}"
 
     if args.job == "publish":
         if not args.lines:
@@ -89,13 +96,11 @@ def main(argv=None) -> None:
             keep_blank_lines=not args.skip_blank_lines,
         )
         return
-    cores = spark.sparkContext.defaultParallelism
+    source = _topic(args, default_topic, root)
     if args.job == "ingest":
-        source = sized_to_cluster(_topic(args, LINE_TOPIC, root), cores)
         query = ingest_lines(spark, source, _sink(spark, args, INGEST_TABLE, root), checkpoint, trigger=trigger)
     else:
         sinks = [(r, _sink(spark, args, r.name, root)) for r in DEFAULT_ROUTES]
-        source = sized_to_cluster(_topic(args, CHANGE_TOPIC, root), cores)
         # one staging folder per query, next to its checkpoint
         stage_dir = None if args.cache_batches else f"{checkpoint.rstrip('/')}-staging"
         query = route_changes(spark, source, sinks, checkpoint, trigger=trigger, stage_dir=stage_dir)

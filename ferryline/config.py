@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 
+# What one micro-batch takes at most unless the caller says otherwise.
+MAX_OFFSETS_PER_TRIGGER = 10_000_000
+MAX_FILES_PER_TRIGGER = 1_000
+
+
 @dataclass(frozen=True)
 class TopicConfig:
     """A message topic.
@@ -14,6 +19,13 @@ class TopicConfig:
     With ``servers`` set, the topic lives on a Kafka cluster. Without it,
     ``path`` names a folder of Parquet files carrying Kafka's row schema (a
     file-backed topic), which behaves the same for every operator here.
+
+    A streaming micro-batch takes at most ``max_offsets_per_trigger``
+    messages (Kafka) or ``max_files_per_trigger`` files; None lifts the
+    limit. The defaults hold everywhere, in the library, the jobs and the
+    registered queries; they bound a batch, not what is read in the end.
+    ``options`` go to the Kafka source and sink as they are (security,
+    consumer settings).
     """
 
     name: str
@@ -21,9 +33,9 @@ class TopicConfig:
     path: str | None = None
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER
     min_partitions: int | None = None
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER
     num_partitions: int = 3
     options: dict[str, str] = field(default_factory=dict)
 
@@ -32,29 +44,6 @@ class TopicConfig:
         return self.servers is not None
 
 
-# Per-core budget of one streaming micro-batch when the caller sets none.
-# One batch then keeps every core busy for a few seconds of parsing, and
-# what ``fan_out`` persists grows with the cluster, not with the topic.
-MESSAGES_PER_CORE_PER_BATCH = 1_000_000
-FILES_PER_CORE_PER_BATCH = 4
-
-
-def sized_to_cluster(cfg: TopicConfig, cores: int) -> TopicConfig:
-    """``cfg`` with unset rate limits and read parallelism sized to ``cores``.
-
-    Without a rate limit the first micro-batch takes the whole topic.
-    ``minPartitions`` at least ``cores`` makes the Kafka source cut large
-    offset ranges into several tasks, so a partition holding a hot key's
-    messages is read by many tasks rather than one.
-    """
-    return replace(
-        cfg,
-        max_offsets_per_trigger=cfg.max_offsets_per_trigger or cores * MESSAGES_PER_CORE_PER_BATCH,
-        max_files_per_trigger=cfg.max_files_per_trigger or cores * FILES_PER_CORE_PER_BATCH,
-        min_partitions=cfg.min_partitions or cores,
-    )
-
-
 @dataclass(frozen=True)
 class JdbcConfig:
     """JDBC connection. Credentials come from the caller (or Spark conf via
@@ -71,8 +60,20 @@ class JdbcConfig:
 
     @classmethod
     def from_spark_conf(cls, spark: SparkSession, prefix: str) -> JdbcConfig:
-        get = lambda k: spark.conf.get(f"{prefix}.{k}", None)
-        url = get("url")
-        if not url:
+        """Every field from ``<prefix>.<field>`` (``batch_size`` and
+        ``num_partitions`` as numbers), and Spark's own JDBC options from
+        ``<prefix>.options.<name>``."""
+        conf = {k[len(prefix) + 1 :]: v for k, v in spark.conf.getAll.items() if k.startswith(f"{prefix}.")}
+        if not conf.get("url"):
             raise ValueError(f"{prefix}.url is not set")
-        return cls(url=url, user=get("user"), password=get("password"), driver=get("driver"))
+        number = lambda k: int(conf[k]) if conf.get(k) else None
+        return cls(
+            url=conf["url"],
+            user=conf.get("user"),
+            password=conf.get("password"),
+            driver=conf.get("driver"),
+            batch_size=number("batch_size"),
+            num_partitions=number("num_partitions"),
+            isolation_level=conf.get("isolation_level"),
+            options={k[len("options.") :]: v for k, v in conf.items() if k.startswith("options.")},
+        )

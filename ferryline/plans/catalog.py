@@ -59,7 +59,7 @@ from ferryline.sources.text_lines import raw_lines, write_lines
 from ferryline.sources.topics import read_topic, read_topic_stream
 from ferryline.streaming.runner import run_available
 from ferryline.streaming.fanout import single_sink
-from ferryline.workspace import fresh_dir
+from ferryline.workspace import discard, fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -405,35 +405,66 @@ def route_quantitative_with_status(spark: SparkSession, sf_dir: str) -> DataFram
 def stream_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = TopicConfig(LINE_TOPIC, path=fresh_dir(spark, "topic-lines"))
     publish_lines(spark, _accident_csv(spark, sf_dir), topic)
-    sink = FileTableSink(fresh_dir(spark, "table-aviation_data"))
-    _await(ingest_lines(spark, topic, sink, fresh_dir(spark, "ckpt-ingest"), trigger={"availableNow": True}))
-    return sink.read(spark)
+    sink, checkpoint = FileTableSink(fresh_dir(spark, "table-aviation_data")), fresh_dir(spark, "ckpt-ingest")
+    _await(ingest_lines(spark, topic, sink, checkpoint, trigger={"availableNow": True}))
+    discard(spark, topic.path, checkpoint)
+    return sink.read(spark, string_struct(INGEST_FIELDS))
 
 
-def _run_route(spark: SparkSession, sf_dir: str) -> dict[str, FileTableSink]:
+def stream_two_topics_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries, each with its own topic and checkpoint, and a batch
+    append into one table: it holds the rows of all three. The first query
+    runs twice on its checkpoint and adds nothing the second time."""
+    orders = table(spark, sf_dir, "orders")
+    fields = ("o_orderkey", "o_orderstatus", "o_orderpriority")
+    line = F.concat_ws(",", _s("o_orderkey"), "o_orderstatus", "o_orderpriority").alias("value")
+    sink, used = FileTableSink(fresh_dir(spark, "table-orders")), []
+
+    def ingest(topic: TopicConfig, checkpoint: str) -> None:
+        _await(ingest_lines(spark, topic, sink, checkpoint, names=fields, trigger={"availableNow": True}))
+
+    for status in ("F", "O"):
+        topic = TopicConfig(f"orders_{status}", path=fresh_dir(spark, "topic-orders"))
+        messages = keyed_messages(orders.where(F.col("o_orderstatus") == status).select(line), topic.name)
+        write_topic(messages, topic)
+        checkpoint = fresh_dir(spark, "ckpt-orders")
+        for _ in range(2 if status == "F" else 1):
+            ingest(topic, checkpoint)
+        used += [topic.path, checkpoint]
+    rest = F.col("o_orderstatus").isNull() | ~F.col("o_orderstatus").isin("F", "O")
+    sink.write(split_fields(orders.where(rest).select(line), fields))
+    discard(spark, *used)
+    return sink.read(spark, string_struct(fields))
+
+
+def _run_route(spark: SparkSession, sf_dir: str, routes=DEFAULT_ROUTES, staged: bool = False) -> dict[str, DataFrame]:
     topic = TopicConfig(CHANGE_TOPIC, path=fresh_dir(spark, "topic-changes"))
     write_topic(accident_changes(table(spark, sf_dir, "lineitem")), topic)
-    sinks = {r.name: FileTableSink(fresh_dir(spark, f"table-{r.name}")) for r in DEFAULT_ROUTES}
+    sinks = {r.name: FileTableSink(fresh_dir(spark, f"table-{r.name}")) for r in routes}
+    checkpoint, stage = fresh_dir(spark, "ckpt-route"), fresh_dir(spark, "stage-route")
     query = route_changes(
         spark,
         topic,
-        [(r, sinks[r.name]) for r in DEFAULT_ROUTES],
-        fresh_dir(spark, "ckpt-route"),
+        [(r, sinks[r.name]) for r in routes],
+        checkpoint,
         trigger={"availableNow": True},
-        stage_dir=fresh_dir(spark, "stage-route"),
+        stage_dir=stage if staged else None,
     )
     _await(query)
-    return sinks
+    discard(spark, topic.path, checkpoint, stage)
+    return {name: sink.read(spark) for name, sink in sinks.items()}
 
 
 def stream_cdc_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sinks = _run_route(spark, sf_dir)
-    return sinks[DEFAULT_ROUTES[0].name].read(spark)
+    """One table: the batch needs no sharing."""
+    route = Route("quantitative_table_with_status", QUANTITATIVE_ROUTE_WITH_STATUS)
+    return _run_route(spark, sf_dir, (route,))[route.name]
 
 
 def fanout_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sinks = _run_route(spark, sf_dir)
-    parts = [sinks[r.name].read(spark).withColumn("sink", F.lit(r.name)) for r in DEFAULT_ROUTES]
+    """Two tables from one staged batch."""
+    tables = _run_route(spark, sf_dir, staged=True)
+    parts = [tables[r.name].withColumn("sink", F.lit(r.name)) for r in DEFAULT_ROUTES]
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
@@ -452,8 +483,10 @@ def append_keeps_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_topic(rows.select(_s("o_orderkey").alias("key"), envelope(after, F.col("op")).alias("value")), topic)
     sink = FileTableSink(fresh_dir(spark, "table-orders"))
     records = change_records(read_topic_stream(spark, topic), string_struct(ORDER_CHANGE_FIELDS))
-    run_available(records, single_sink(sink), fresh_dir(spark, "ckpt-orders"))
-    return sink.read(spark)
+    checkpoint = fresh_dir(spark, "ckpt-orders")
+    run_available(records, single_sink(sink), checkpoint)
+    discard(spark, topic.path, checkpoint)
+    return sink.read(spark, string_struct(ORDER_CHANGE_FIELDS))
 
 
 RESUME_SPLIT = "2024-01-16 00:00:00"
@@ -479,7 +512,8 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_topic(messages.where(~early).drop("ts"), topic)
     run()
     run()  # nothing new: no batch, no duplicate
-    return sink.read(spark)
+    discard(spark, topic.path, checkpoint)
+    return sink.read(spark, schema)
 
 
 QUERIES: dict[str, Query] = {
@@ -508,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "route_qualitative": route_qualitative,
     "route_quantitative_with_status": route_quantitative_with_status,
     "stream_ingest_lines": stream_ingest_lines,
+    "stream_two_topics_one_table": stream_two_topics_one_table,
     "stream_cdc_route": stream_cdc_route,
     "fanout_two_sinks": fanout_two_sinks,
     "append_keeps_updates": append_keeps_updates,
@@ -707,7 +742,10 @@ ORACLES: dict[str, str] = {
         f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE_WITH_STATUS)} FROM changes"
     ),
     "stream_ingest_lines": f"SELECT {_split_select(INGEST_FIELDS)} FROM {_STRIPPED_SPLIT}",
-    "stream_cdc_route": f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE)} FROM changes",
+    "stream_two_topics_one_table": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders"
+    ),
+    "stream_cdc_route": f"WITH {_CHANGES_CTE} SELECT {_route_sql(QUANTITATIVE_ROUTE_WITH_STATUS)} FROM changes",
     "fanout_two_sinks": f"WITH {_CHANGES_CTE} {_ROUTE_UNION}",
     "append_keeps_updates": (
         "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders "

@@ -13,8 +13,8 @@ def topic_rows(messages: DataFrame, cfg: TopicConfig) -> DataFrame:
 
     Without a partition column the partition is the key hash modulo the
     topic's partition count (a NULL key goes by writer task), like a Kafka
-    producer's default partitioner. The offset is unique and increasing
-    within one write; the broker would number them per partition.
+    producer's default partitioner. Only a broker numbers messages, so
+    ``offset`` is NULL.
     """
     cols = messages.columns
     if "partition" in cols:
@@ -29,7 +29,7 @@ def topic_rows(messages: DataFrame, cfg: TopicConfig) -> DataFrame:
         F.col("value").cast("binary").alias("value"),
         F.lit(cfg.name).alias("topic"),
         partition.alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("long").alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

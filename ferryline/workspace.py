@@ -37,6 +37,18 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders made by :func:`fresh_dir` that nothing reads any more.
+
+    Whoever makes a folder owns it: the registered queries discard the
+    topics, staged batches and checkpoints of a run that has ended; a folder
+    that a returned DataFrame reads belongs to its caller."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder under the shared root (never reused across runs)."""
     return f"{shared_root(spark)}/ferryline/{name}-{uuid.uuid4().hex[:12]}"

@@ -64,13 +64,23 @@ def test_pinned_partition_kept(spark):
 
 
 def test_file_table_sink_replay_is_idempotent(spark):
-    sink = FileTableSink(fresh_dir(spark, "table"))
-    df = spark.createDataFrame([(1,), (2,)], "x int")
+    path = fresh_dir(spark, "table")
+    sink, other = FileTableSink(path, query_id="a"), FileTableSink(path, query_id="b")
+    df = spark.createDataFrame([(1, 7), (2, 8)], "x int, batch_id int")
     sink.write(df, 0)
     sink.write(df, 0)  # replay of batch 0 after a crash
     sink.write(df, 1)
     assert sorted(r.x for r in sink.read(spark).collect()) == [1, 1, 2, 2]
-    assert "batch_id" not in sink.read(spark).columns
+    assert sink.read(spark).columns == ["x", "batch_id"]
+    other.write(df, 0)  # another query's batch 0
+    sink.write(df)  # a batch append
+    assert sorted(r.x for r in other.read(spark, df.schema).collect()) == [1, 1, 1, 1, 2, 2, 2, 2]
+    with pytest.raises(RuntimeError, match="query"):
+        FileTableSink(path).write(df, 0)
+
+
+def test_empty_file_table_is_read_with_a_schema(spark, tmp_root):
+    assert FileTableSink(tmp_root).read(spark, "x int").count() == 0
 
 
 def test_kafka_source_options():
@@ -158,15 +168,32 @@ def test_raw_lines_crlf_and_blank_lines(spark, tmp_root):
     assert raw_lines(spark, tmp_root, header=False).count() == 4
 
 
-def test_rate_limits_sized_to_cluster():
-    from ferryline.config import sized_to_cluster
-
-    cfg = sized_to_cluster(TopicConfig("t", servers="b:9092"), cores=16)
-    opts = kafka_source_options(cfg)
-    assert opts["maxOffsetsPerTrigger"] == "16000000" and opts["minPartitions"] == "16"
-    assert cfg.max_files_per_trigger == 64
-    kept = sized_to_cluster(TopicConfig("t", max_offsets_per_trigger=5, min_partitions=2, max_files_per_trigger=1), 16)
-    assert (kept.max_offsets_per_trigger, kept.min_partitions, kept.max_files_per_trigger) == (5, 2, 1)
+def test_one_batch_limit_everywhere():
+    opts = kafka_source_options(TopicConfig("t", servers="b:9092"))
+    assert opts["maxOffsetsPerTrigger"] == "10000000" and "minPartitions" not in opts
+    assert TopicConfig("t").max_files_per_trigger == 1000
+    own = TopicConfig("t", servers="b:9092", max_offsets_per_trigger=None, options={"kafka.security.protocol": "SSL"})
+    opts = kafka_source_options(own)
+    assert "maxOffsetsPerTrigger" not in opts and opts["kafka.security.protocol"] == "SSL"
+
+
+def test_jdbc_config_reads_every_field(spark):
+    from ferryline.config import JdbcConfig
+    from ferryline.sinks.jdbc import jdbc_write_options
+
+    conf = {
+        "url": "jdbc:mysql://h/db", "user": "u", "password": "p", "driver": "D", "batch_size": "500",
+        "num_partitions": "8", "isolation_level": "READ_COMMITTED", "options.truncate": "true",
+    }
+    for k, v in conf.items():
+        spark.conf.set(f"spark.ferryline.test.{k}", v)
+    cfg = JdbcConfig.from_spark_conf(spark, "spark.ferryline.test")
+    assert jdbc_write_options(cfg, "t") == {
+        "url": "jdbc:mysql://h/db", "dbtable": "t", "user": "u", "password": "p", "driver": "D", "batchsize": "500",
+        "numPartitions": "8", "isolationLevel": "READ_COMMITTED", "truncate": "true",
+    }
+    with pytest.raises(ValueError, match="url"):
+        JdbcConfig.from_spark_conf(spark, "spark.ferryline.other")
 
 
 def test_hot_key_is_not_read_by_one_task(spark):
