@@ -12,9 +12,11 @@ the whole meets its bound or there is one partition left.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from functools import reduce
 from itertools import accumulate, chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,19 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def worker_memory(path: str) -> tuple:
+    """The tokenizer and the words known to it, kept by a Python worker from
+    one task to the next (Spark reuses its workers): a task starts with what
+    the tasks before it in the same process have met. Nothing depends on it
+    but time; its size is bounded by REMEMBERED_WORDS."""
+    from tokenizers import Tokenizer
+
+    kept = sys.modules.setdefault("_ferryline_worker_memory", ModuleType("_ferryline_worker_memory")).__dict__
+    if path not in kept:
+        kept[path] = (Tokenizer.from_file(path), {})
+    return kept[path]
+
+
 class IdBytes:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -54,10 +69,7 @@ class IdBytes:
     plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*()-]*)")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.tokenizer, self.known = worker_memory(path)
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
         out: dict[str, bytes] = {}
