@@ -34,7 +34,8 @@ def _s(col: str) -> str:
     return f"cast({col} as string)"
 
 
-# One rule per CSV column (31, header order) over a lineitem row.
+# One rule per CSV column (31, header order) over a lineitem row; the names are
+# the fixed values of CSV_HEADER.
 # Line 3 of an order gets a Location without a comma (later fields shift
 # left); line 5 gets an Airport.Name with a comma (later fields shift right).
 ACCIDENT_LINE_RULES: tuple[tuple[str, Expr], ...] = (
