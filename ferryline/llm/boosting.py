@@ -30,7 +30,15 @@ class Trees:
         return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, depth: int = 4, rate: float = 0.3, bins: int = 32) -> Trees:
+def fit(
+    x: np.ndarray,
+    y: np.ndarray,
+    weight: np.ndarray,
+    rounds: int = 40,
+    depth: int = 4,
+    rate: float = 0.3,
+    bins: int = 32,
+) -> Trees:
     """Newton boosting of the logistic loss on binned features."""
     n, width = x.shape
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
@@ -60,7 +68,8 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, dept
             for k in range(size):
                 if gain[k, feature[k], split[k]] > 1e-6:
                     features[r, size - 1 + k] = feature[k]
-                    thresholds[r, size - 1 + k] = cuts[feature[k]][split[k]] if split[k] < len(cuts[feature[k]]) else np.inf
+                    own = cuts[feature[k]]
+                    thresholds[r, size - 1 + k] = own[split[k]] if split[k] < len(own) else np.inf
             own = size - 1 + node
             node = 2 * node + (x[np.arange(n), features[r, own]] > thresholds[r, own])
         g, h = np.bincount(node, grad, 2**depth), np.bincount(node, hess, 2**depth)

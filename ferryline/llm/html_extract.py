@@ -66,10 +66,12 @@ class PageMaker:
         return f'<{tag}{attrs} {_LABEL}="{label}">{inside}</{tag}>'
 
     def nav(self) -> str:
-        return self.region(["nav", "nav", "div", "ul"], ["nav", "menu", "main-menu", "navbar", "breadcrumbs"], self.links(self.r.randint(3, 12)), "drop")
+        names = ["nav", "menu", "main-menu", "navbar", "breadcrumbs"]
+        return self.region(["nav", "nav", "div", "ul"], names, self.links(self.r.randint(3, 12)), "drop")
 
     def header(self) -> str:
-        inside = self.r.choice([f"<h1>{self.words(1, 4)}</h1>", f"<p>{self.sentence(2, 6)}</p>", f'<a href="/">{self.words(1, 2)}</a>'])
+        plain = f'<a href="/">{self.words(1, 2)}</a>'
+        inside = self.r.choice([f"<h1>{self.words(1, 4)}</h1>", f"<p>{self.sentence(2, 6)}</p>", plain])
         inside += self.nav() if self.r.random() < 0.5 else ""
         return self.region(["header", "header", "div"], ["header", "site-header", "masthead", "top"], inside, "drop")
 
@@ -77,11 +79,13 @@ class PageMaker:
         text = self.sentence(3, 14)
         text = text if self.r.random() < 0.6 else f'<a href="/{self.word()}">{text}</a>'
         text = f"<p>{text}</p>" if self.r.random() < 0.3 else text
-        return self.region(["div", "div", "aside"], ["ad", "ads", "advert", "banner", "sponsored", "promo-box"], text, "drop", 0)
+        names = ["ad", "ads", "advert", "banner", "sponsored", "promo-box"]
+        return self.region(["div", "div", "aside"], names, text, "drop", 0)
 
     def notice(self) -> str:
         text = f"<p>{self.prose(self.r.randint(1, 3))}</p><button>{self.word()}</button>"
-        return self.region(["div", "div", "dialog"], ["cookie-notice", "notice", "consent", "alert", "popup"], text, "drop", 0)
+        names = ["cookie-notice", "notice", "consent", "alert", "popup"]
+        return self.region(["div", "div", "dialog"], names, text, "drop", 0)
 
     def form(self) -> str:
         inside = "".join(f"<label>{self.words(1, 3)}</label><input name=x>" for _ in range(self.r.randint(1, 4)))
@@ -91,11 +95,16 @@ class PageMaker:
     def sidebar(self) -> str:
         widgets = "".join(
             f'<div class="widget"><h3>{self.words(1, 3)}</h3>'
-            + (self.links(self.r.randint(3, 8)) if self.r.random() < 0.7 else f"<p>{self.prose(self.r.randint(1, 3))}</p>")
+            + (
+                self.links(self.r.randint(3, 8))
+                if self.r.random() < 0.7
+                else f"<p>{self.prose(self.r.randint(1, 3))}</p>"
+            )
             + "</div>"
             for _ in range(self.r.randint(1, 4))
         )
-        return self.region(["aside", "aside", "div"], ["sidebar", "side", "related", "widgets", "trending"], widgets, "drop", 0.05)
+        names = ["sidebar", "side", "related", "widgets", "trending"]
+        return self.region(["aside", "aside", "div"], names, widgets, "drop", 0.05)
 
     def comments(self) -> str:
         each = self.r.choice(["div", "li", "article"])
@@ -104,16 +113,19 @@ class PageMaker:
             for _ in range(self.r.randint(1, 8))
         )
         head = f"<h3>{self.words(1, 2)}</h3>" if self.r.random() < 0.7 else ""
-        return self.region(["div", "section", "div"], ["comments", "comment-list", "replies", "discussion"], head + items, "drop", 0)
+        names = ["comments", "comment-list", "replies", "discussion"]
+        return self.region(["div", "section", "div"], names, head + items, "drop", 0)
 
     def share(self) -> str:
-        return self.region(["div", "ul"], ["share", "social", "share-tools"], self.links(self.r.randint(2, 5)), "drop", 0)
+        names = ["share", "social", "share-tools"]
+        return self.region(["div", "ul"], names, self.links(self.r.randint(2, 5)), "drop", 0)
 
     def footer(self) -> str:
         inside = f"&copy; {self.words(1, 3)} &middot; {self.prose(self.r.randint(1, 2))}"
         inside = f"<p>{inside}</p>" if self.r.random() < 0.4 else inside
         inside += self.links(self.r.randint(2, 6)) if self.r.random() < 0.3 else ""
-        return self.region(["footer", "footer", "footer", "div"], ["footer", "site-footer", "bottom", "copyright"], inside, "drop", 0.05)
+        names = ["footer", "site-footer", "bottom", "copyright"]
+        return self.region(["footer", "footer", "footer", "div"], names, inside, "drop", 0.05)
 
     def inline(self, text: str) -> str:
         how, words = self.r.random(), text.split(" ")
@@ -138,10 +150,11 @@ class PageMaker:
             elif how < 0.75:
                 parts.append(f"<p><b>{text}<br>")
             elif how < 0.8:
-                parts.append(f"<h{self.r.randint(2, 4)}>{self.words(1, 6)}</h2>".replace("</h2>", ""))
-                parts[-1] += f"</{parts[-1][1:3]}>"
+                level = self.r.randint(2, 4)
+                parts.append(f"<h{level}>{self.words(1, 6)}</h{level}>")
             elif how < 0.85:
-                parts.append("<ul>" + "".join(f"<li>{self.inline(self.sentence())}</li>" for _ in range(self.r.randint(2, 6))) + "</ul>")
+                items = (f"<li>{self.inline(self.sentence())}</li>" for _ in range(self.r.randint(2, 6)))
+                parts.append("<ul>" + "".join(items) + "</ul>")
             elif how < 0.89:
                 parts.append(f"<blockquote><p>{text}</p></blockquote>")
             elif how < 0.92:
@@ -157,7 +170,8 @@ class PageMaker:
             inside = f'<div class="{self.r.choice(["text", "entry-content", "article-body", "inner"])}">{inside}</div>'
         if self.r.random() < 0.1:
             inside += self.comments()
-        return self.region(["article", "article", "article", "main", "div", "section"], ["content", "post", "article", "entry", "story", "main-content"], inside, "keep", 0.3)
+        names = ["content", "post", "article", "entry", "story", "main-content"]
+        return self.region(["article", "article", "article", "main", "div", "section"], names, inside, "keep", 0.3)
 
     def page(self) -> str:
         some = lambda share, make: [make()] if self.r.random() < share else []
@@ -206,7 +220,13 @@ def main_text(html: str, trees: Trees) -> str:
     return dom.text_of(dom.decode(trees.margin(dom.features())))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", trees: Trees | None = None) -> DataFrame:
+def extract(
+    pages: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    trees: Trees | None = None,
+) -> DataFrame:
     """``page_id, url, text`` of every row: the main text, blocks in page
     order, one a line.
 

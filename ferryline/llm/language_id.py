@@ -106,7 +106,8 @@ def words_in(points: np.ndarray, tables) -> tuple[np.ndarray, ...]:
     inside = kind[start] > 0 if len(start) else np.empty(0, bool)
     start, length = start[inside], (stop - start)[inside]
     before, after = np.r_[np.uint64(0), low[:-1]], np.r_[low[1:], np.uint64(0)]
-    cell = before * np.uint64(0x9E3779B97F4A7C15) + low * np.uint64(0xC2B2AE3D27D4EB4F) + after * np.uint64(0x165667B19E3779F9)
+    cell = before * np.uint64(0x9E3779B97F4A7C15) + low * np.uint64(0xC2B2AE3D27D4EB4F)
+    cell += after * np.uint64(0x165667B19E3779F9)
     cell = (cell ^ (cell >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 16)
     # a word's key: its letters' numbers summed under multipliers that depend
     # on the place in the word
@@ -125,7 +126,13 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def learn(
+    docs: DataFrame,
+    lang_col: str = "lang",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    per_language: int = SAMPLE_PER_LANGUAGE,
+) -> Model:
     """A model of every language among the rows of ``docs`` (rows without a
     language are passed over), from a sample of the documents picked by
     a hash of the identifier: about ``per_language`` of each language, or

@@ -235,7 +235,8 @@ def pack_documents(
     for turn in range(MAX_ROUNDS):
         parts = max(1, -(-released.count() // PARTITION_PIECES))
         packed = checkpointed(_packed(released, parts, capacity, turn))
-        loose = (F.col("fill") < F.lit(capacity)) & ((F.col("gap") > 0) | (F.col("fill") < F.lit(capacity - capacity // 16)))
+        room = F.lit(capacity) - F.col("fill")
+        loose = (room > 0) & ((F.col("gap") > 0) | (room > F.lit(capacity // 16)))
         total = packed.agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
         if parts == 1 or bins + total <= bound or turn == MAX_ROUNDS - 1:
             settled.append(packed)

@@ -45,7 +45,8 @@ def fingerprint_of(text: str, shingle: int = 3) -> int:
     stop = ends[min(shingle, len(words)) - 1 :].tolist()
     ones, step = np.zeros(64, np.int64), 1 << 16
     for k in range(0, n, step):
-        h = [xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(start[k : k + step], stop[k : k + step], strict=True)]
+        places = zip(start[k : k + step], stop[k : k + step], strict=True)
+        h = [xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in places]
         bits = np.unpackbits(np.array(h, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
@@ -149,10 +150,8 @@ def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
         rest = [k for k in range(64) if k not in used]
         size = len(rest) // (radius + 1)
         parts.append([sum(1 << k for k in rest[b * size : (b + 1) * size]) for b in range(radius + 1)])
-    further = [
-        F.xxhash64("key", F.lit(b), F.col("fp").bitwiseAND(F.get(F.array(*[F.lit(_signed(p[b])) for p in parts]), F.col("way"))))
-        for b in range(radius + 1)
-    ]
+    masks = [F.get(F.array(*[F.lit(_signed(p[b])) for p in parts]), F.col("way")) for b in range(radius + 1)]
+    further = [F.xxhash64("key", F.lit(b), F.col("fp").bitwiseAND(mask)) for b, mask in enumerate(masks)]
     grouped = (
         keyed.join(large, "key", "left")
         .select(
@@ -211,7 +210,9 @@ def simhash_dedup(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
+) -> DataFrame:
     """The rows of ``docs``, all columns untouched, of which one of each
     group of near duplicates stays: that of the smallest identifier (rows
     that share it and their text are the same document and stay together)."""

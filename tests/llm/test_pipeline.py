@@ -6,7 +6,6 @@ import brute
 from conftest import SENTENCE, edge_rows
 
 import corpus_pipeline as pipeline
-from ferryline.llm import mixing, packing
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -58,4 +57,3 @@ def test_empty_documents(spark, tmp_path):
 def test_run_on_a_table(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns[:2] == ["doc_id", "piece"] and out.count() > 100
-    assert packing and mixing
