@@ -21,6 +21,7 @@ from types import ModuleType
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ PARTITION_PIECES = 40_000
 MAX_ROUNDS = 6
 #: Words whose ids a task remembers; the memory starts anew beyond.
 REMEMBERED_WORDS = 800_000
+#: Text bytes encoded at once.
+BATCH_BYTES = 4 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -95,16 +98,39 @@ class IdBytes:
         for word, core, marks in cores:
             known[word] = known[core] + known[marks]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        fresh = {w for words in split for w in words if w not in known}
+    def __call__(self, texts) -> list[bytes]:
+        """The ids of each text of an Arrow array (or list) of strings."""
+        lines = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
+        split = pc.split_pattern(lines, " ")
+        words = split.flatten().dictionary_encode()
+        distinct, known = words.dictionary.to_pylist(), self.known
+        fresh = {w for w in distinct if w not in known}
         if len(known) + len(fresh) > REMEMBERED_WORDS:
             known.clear()
-            fresh = {w for words in split for w in words}
+            fresh = set(distinct)
         self._learn(fresh)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        found = [known[w] for w in distinct]
+        # every word's ids, copied from where its distinct word's stand
+        sizes = np.array([len(x) for x in found], np.int64) >> 2
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
+        word = words.indices.to_numpy()
+        own = sizes[word]
+        ends = np.cumsum(own)
+        places = np.repeat(starts[word] - (ends - own), own) + np.arange(int(ends[-1]) if len(ends) else 0)
+        data = ids[places].tobytes()
+        cut = np.r_[0, ends][np.asarray(split.offsets) - split.offsets[0].as_py()] * 4
+        return [data[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+def stretches(texts: pa.Array, most: int):
+    """Ranges of neighbouring texts of about ``most`` bytes (one at least)."""
+    total = np.cumsum(np.asarray(pc.binary_length(texts), np.int64))
+    at = 0
+    while at < len(total):
+        done = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, done + most, "right")))
+        yield at, end
+        at = end
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -125,9 +151,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
             out = []
-            for k in range(0, len(ids), 256):
-                part = texts.slice(k, 256).to_pylist()
-                for doc, data in zip(ids[k : k + 256], encode(part), strict=True):
+            for a, b in stretches(texts, BATCH_BYTES):
+                for doc, data in zip(ids[a:b], encode(texts.slice(a, b - a)), strict=True):
                     data += end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[at : at + 4 * capacity]
