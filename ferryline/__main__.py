@@ -71,10 +71,10 @@ def main(argv=None) -> None:
     p.add_argument("--table-root", help="folder for file tables when no JDBC sink is given")
     p.add_argument("--checkpoint")
     p.add_argument(
-        "--cache-batches",
+        "--stage-batches",
         action="store_true",
-        help="route: share each batch between sinks through an executor cache instead of a staged "
-        "table in the shared folder (the default)",
+        help="route: share each batch between sinks through a table in the shared folder, which cuts the lineage "
+        "back to the topic (default: an executor cache)",
     )
     p.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     args = p.parse_args(argv)
@@ -102,7 +102,7 @@ def main(argv=None) -> None:
     else:
         sinks = [(r, _sink(spark, args, r.name, root)) for r in DEFAULT_ROUTES]
         # one staging folder per query, next to its checkpoint
-        stage_dir = None if args.cache_batches else f"{checkpoint.rstrip('/')}-staging"
+        stage_dir = f"{checkpoint.rstrip('/')}-staging" if args.stage_batches else None
         query = route_changes(spark, source, sinks, checkpoint, trigger=trigger, stage_dir=stage_dir)
     query.awaitTermination()
 

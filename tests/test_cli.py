@@ -35,7 +35,7 @@ def test_route_stages_batches_next_to_checkpoint(spark, tmp_root):
     cfg = TopicConfig(topic, path=f"{shared_root(spark)}/topics/{topic}")
     write_topic(spark.createDataFrame([(None, v) for v in envs], "key string, value string"), cfg)
     tables, ck = os.path.join(tmp_root, "tables"), os.path.join(tmp_root, "ck")
-    main(["route", "--topic", topic, "--available-now", "--table-root", tables, "--checkpoint", ck])
+    main(["route", "--topic", topic, "--available-now", "--table-root", tables, "--checkpoint", ck, "--stage-batches"])
     quant = FileTableSink(os.path.join(tables, "quantitative_table")).read(spark)
     qual = FileTableSink(os.path.join(tables, "qualitative_table")).read(spark)
     assert sorted(r.total_uninjured for r in quant.collect()) == list(range(20))
