@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 BATCH_TOKENS = 1 << 21
 #: Positions inside a batch fit these bits.
 _PLACE = np.uint64((1 << 24) - 1)
+#: Anchors a task gathers before it passes on what it counted.
+SKETCH_ANCHORS = 2_000_000
 #: Cells in one shard of a sketch.
 SHARD_CELLS = 1 << 22
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -137,7 +139,7 @@ def repeated_anchors(
                 for row in range(rows):
                     held[row].append(cells_of(hashes, row, cells))
                 kept += len(hashes)
-            if kept > 4_000_000:
+            if kept > SKETCH_ANCHORS:
                 yield _blobs(flush())
                 kept = 0
         if kept:
