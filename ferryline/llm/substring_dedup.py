@@ -4,13 +4,15 @@ First pass: every partition sketches the anchors of its word windows (see
 ``anchors``), the sketches are merged, and one bit per cell is sent out.
 Every window holds its anchor, so an anchor's count is never below a
 window's: a window whose anchor is estimated to occur once occurs once.
-Second pass: only windows estimated repeated travel, as 128-bit keys, to be
-grouped exactly; each group keeps the window of the smallest identifier.
+Second pass: only windows estimated repeated travel, as 128-bit BLAKE2b
+digests of their words, to be grouped exactly; each group keeps the window
+of the smallest identifier.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -49,25 +51,39 @@ def words_of(text: str) -> list[bytes]:
 
 
 def _word_keys(words: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
-def _rolled(keys: np.ndarray, width: int, salt: int) -> np.ndarray:
-    """Hash of each ``width`` consecutive keys: sums under odd multipliers."""
+def _rolled(keys: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each ``width`` consecutive keys, good for anchors only: grams
+    of different words may share one, which costs work and loses nothing."""
     n = len(keys) - width + 1
     out = np.zeros(max(n, 0), np.uint64)
     for j in range(width if n > 0 else 0):
-        out += keys[j : j + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * (j + salt) + 1)) & (2**64 - 1) | 1)
+        out += mixed(keys[j : j + n] + np.uint64((0x9E3779B97F4A7C15 * (j + 1)) & (2**64 - 1)))
     return out
 
 
+def _digests(words: list[bytes], at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit halves of a strong digest of the ``width`` words from each
+    place. Words hold no blank, so joined by one they tell windows apart."""
+    joined = b" ".join(words)
+    stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    first = np.r_[0, stop[:-1] + 1][at].tolist()
+    last = stop[at + width - 1].tolist()
+    found = b"".join([blake2b(joined[a:b], digest_size=16).digest() for a, b in zip(first, last, strict=True)])
+    halves = np.frombuffer(found, "<u8").reshape(-1, 2)
+    return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
+
+
 def _batches(texts: Iterable[str], width: int):
-    """``(owner, offset, ends, keys)`` per batch of pieces."""
+    """``(owner, offset, ends, words, keys)`` per batch of pieces."""
     for batch in pieces(map(words_of, texts), width, BATCH_WORDS):
         owner = np.array([i for i, _, _ in batch], np.int64)
         offset = np.array([at for _, at, _ in batch], np.int64)
         ends = np.cumsum([len(w) for _, _, w in batch])
-        yield owner, offset, ends, _word_keys([w for _, _, own in batch for w in own])
+        words = [w for _, _, own in batch for w in own]
+        yield owner, offset, ends, words, _word_keys(words)
 
 
 def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELLS) -> DataFrame:
@@ -85,8 +101,8 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
     buckets = max(16, size // BUCKET_BYTES)
 
     def anchors(batch: pa.RecordBatch):
-        for _, _, ends, keys in _batches((t.as_py() for t in batch.column("text")), width):
-            yield window_runs(mixed(_rolled(keys[:, 0], gram, 0)), ends, width, gram)[2]
+        for _, _, ends, _, keys in _batches((t.as_py() for t in batch.column("text")), width):
+            yield window_runs(mixed(_rolled(keys, gram)), ends, width, gram)[2]
 
     bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
 
@@ -94,16 +110,15 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
-            for owner, offset, ends, keys in _batches((t.as_py() for t in batch.column("text")), width):
-                start, count, hashes = window_runs(mixed(_rolled(keys[:, 0], gram, 0)), ends, width, gram)
+            for owner, offset, ends, words, keys in _batches((t.as_py() for t in batch.column("text")), width):
+                start, count, hashes = window_runs(mixed(_rolled(keys, gram)), ends, width, gram)
                 take = maybe_repeated(bits.value, hashes)
                 start, count, hashes = start[take], count[take], hashes[take]
                 if not len(start):
                     continue
                 at = np.repeat(start - np.cumsum(np.r_[0, count[:-1]]), count) + np.arange(count.sum())
                 piece = np.searchsorted(ends, at, "right")
-                key1 = mixed(_rolled(keys[:, 0], width, 1))[at]
-                key2 = mixed(_rolled(keys[:, 1], width, 7))[at]
+                key1, key2 = _digests(words, at, width)
                 own = owner[piece]
                 place = at - np.r_[0, ends[:-1]][piece] + offset[piece]
                 bucket = np.repeat((hashes % np.uint64(buckets)).astype(np.int64), count)

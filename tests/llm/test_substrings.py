@@ -56,6 +56,22 @@ def test_shared_passages(spark, seed):
     assert got == expected
 
 
+def test_same_words_in_another_order_are_kept(spark):
+    """Windows of two words that share every sum of places stay apart."""
+    tail = "a b c d e f g h i"
+    rows = []
+    for i in range(40):  # other tails, so that some pairs share their anchor
+        own = " ".join(f"{w}{i}" for w in tail.split())
+        rows += [(2 * i, f"yes no no yes {own}"), (2 * i + 1, f"no yes yes no {own}")]
+    r = random.Random(8)
+    rows += [(1000 + i, " ".join(r.choices(["yes", "no"], k=60))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x[0]: tuple(x)[1:] for x in words.digest(words.substring_dedup(docs)).collect()}
+    expected = brute.removed(rows, 13, brute.words, " ".join)
+    assert got == {d: (n, gone, digest) for (d, _), (n, gone, _, digest) in zip(rows, expected, strict=True)}
+    assert all(got[i][1] == 0 for i in range(80))
+
+
 def test_full_sketch_loses_nothing(spark, monkeypatch):
     """A sketch too small for the input calls everything repeated."""
     from ferryline.llm import anchors
