@@ -9,8 +9,9 @@ from ferryline.llm.common import checkpointed
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` of every node of ``edges`` (``a, b`` long, any
-    direction): the least node it is connected to, itself included.
+    """``node, component`` of every node of ``edges`` (``a, b`` of one type
+    that has an order, any direction): the least node it is connected to,
+    itself included.
 
     Alternating large-star and small-star steps. Each is joins and
     aggregations of edges (a node's neighbours are never gathered), each

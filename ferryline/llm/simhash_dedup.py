@@ -134,8 +134,10 @@ def forest(n: int, links) -> np.ndarray:
 
 
 def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """``fp, component`` of every distinct fingerprint of ``id, fp`` rows:
-    the least identifier reachable over links of at most ``radius`` bits."""
+    """``fp, component, root`` of every distinct fingerprint of ``id, fp``
+    rows: the least identifier reachable over links of at most ``radius``
+    bits, and the least fingerprint reached that has it. The root tells
+    components apart, also those whose least identifiers are equal or NULL."""
     distinct = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("rep")))
     ways = _cuts(distinct.count(), radius)
     keyed = distinct.select(
@@ -163,19 +165,25 @@ def near_components(prints: DataFrame, radius: int = 3) -> DataFrame:
     )
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < 2:
-            return pd.DataFrame({"a": [], "b": []})
-        rep = pdf["rep"].to_numpy()
-        order = np.argsort(rep)  # the least row of a tree is its least identifier
-        rep, fp = rep[order], pdf["fp"].to_numpy()[order].view(np.uint64)
-        root = forest(len(rep), tile_links(fp, radius))
+        rep, fp = pdf["rep"].to_numpy(), pdf["fp"].to_numpy()
+        order = np.lexsort((fp, rep))  # the least row of a tree has its least identifier
+        rep, fp = rep[order], fp[order]
+        root = forest(len(rep), tile_links(fp.view(np.uint64), radius))
         tied = np.flatnonzero(root != np.arange(len(rep)))
-        return pd.DataFrame({"a": rep[tied], "b": rep[root[tied]]})
+        up = root[tied]
+        return pd.DataFrame({"rep": rep[tied], "fp": fp[tied], "up_rep": rep[up], "up_fp": fp[up]})
 
-    edges = grouped.groupBy("split", "key").applyInPandas(links, "a long, b long")
-    found = components(edges)
-    return distinct.join(found, distinct["rep"] == found["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component")
+    tied = grouped.groupBy("split", "key").applyInPandas(links, "rep long, fp long, up_rep long, up_fp long")
+    # a node is a fingerprint, ordered by its least identifier first
+    edges = tied.select(
+        F.struct("rep", "fp").alias("a"), F.struct(F.col("up_rep").alias("rep"), F.col("up_fp").alias("fp")).alias("b")
+    )
+    # joined by node, so that the caller's join by fp shuffles anew and a hot
+    # fingerprint can be split there
+    return distinct.withColumn("node", F.struct("rep", "fp")).join(components(edges), "node", "left").select(
+        "fp",
+        F.coalesce("component.rep", "rep").alias("component"),
+        F.coalesce("component.fp", "fp").alias("root"),
     )
 
 
@@ -183,6 +191,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """``fp, id, th, component, root`` of every row."""
+    prints = checkpointed(with_fingerprints(keyed_text(docs, id_col, text_col), shingle))
+    return prints.join(near_components(prints, radius), "fp")
+
+
 def simhash_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
 ) -> DataFrame:
@@ -194,14 +208,13 @@ def simhash_dedup(
     NULL and empty texts, and texts without words, have fingerprint zero,
     which links like any other. Equal fingerprints are one node, so exact
     copies cost one comparison. A NULL identifier counts as the largest (a
-    component of nothing else is NULL); repeated rows each get their row. An
+    component of nothing else is NULL, and so may be that of several
+    components); repeated rows each get their row. An
     empty table gives no rows; columns other than the two named ones are not
     read. ``th`` is the XXH64 of the text, to tell rows of one identifier
     apart.
     """
-    prints = checkpointed(with_fingerprints(keyed_text(docs, id_col, text_col), shingle))
-    joined = prints.join(near_components(prints, radius), "fp")
-    return joined.select(
+    return _linked(docs, id_col, text_col, shingle, radius).select(
         restored_id().alias("doc_id"),
         "th",
         "fp",
@@ -214,17 +227,18 @@ def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
 ) -> DataFrame:
     """The rows of ``docs``, all columns untouched, of which one of each
-    group of near duplicates stays: that of the smallest identifier (rows
-    that share it and their text are the same document and stay together)."""
-    found = simhash_dedup(docs, id_col, text_col, shingle, radius)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("kept_id"), F.col("th").alias("kept_th")
-    )
+    group of near duplicates stays: that of the smallest identifier, and of
+    unlike texts that share it, that of the smallest fingerprint and ``th``
+    (rows that share both identifier and text are the same document and stay
+    together)."""
+    found = _linked(docs, id_col, text_col, shingle, radius)
+    least = found.where((F.col("fp") == F.col("root")) & (F.col("id") == F.col("component")))
+    kept = least.groupBy("fp").agg(F.min("id").alias("kept_id"), F.min("th").alias("kept_th"))
     text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     same_row = (F.coalesce(quoted(id_col).cast("long"), F.lit(LAST_ID)) == F.col("kept_id")) & (
         F.xxhash64(text) == F.col("kept_th")
     )
-    return docs.join(kept, same_row, "left_semi")
+    return docs.join(kept.select("kept_id", "kept_th"), same_row, "left_semi")
 
 
 def digest(out: DataFrame) -> DataFrame:

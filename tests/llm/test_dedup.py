@@ -77,6 +77,34 @@ def test_one_of_each_group_stays(spark):
     assert kept >= set(range(100, 110)) and 3 in kept
 
 
+def test_rows_without_an_identifier_of_their_own(spark):
+    """NULL and shared identifiers: unlike texts are apart, near ones meet."""
+    r = random.Random(9)
+
+    def text(k):
+        return " ".join(f"{k}w{r.randint(0, 900)}" for _ in range(600))
+
+    def edited(t):  # an edit that leaves the fingerprints within the radius
+        own = t.split()
+        while True:
+            own[r.randrange(600)] = f"other{r.random()}"
+            if (brute.simhash(t) ^ (now := brute.simhash(" ".join(own)))).bit_count() in (1, 2, 3):
+                return " ".join(own)
+            if (brute.simhash(t) ^ now).bit_count() > 3:
+                own = t.split()
+
+    near_3, alone, pair, shared, twin = (text(k) for k in range(5))
+    rows = [(3, near_3), (None, edited(near_3)), (None, alone), (None, pair), (None, edited(pair))]
+    rows += [(7, shared), (7, twin), (7, edited(twin))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(x.doc_id, x.text) for x in near.one_of_each(docs).collect()]
+    assert (3, near_3) in kept and (None, alone) in kept and (7, shared) in kept and len(kept) == 5
+    assert sum(x in kept for x in rows[3:5]) == 1 and sum(x in kept for x in rows[6:]) == 1
+    found = [(x.doc_id, x.fingerprint, x.component_id) for x in near.simhash_dedup(docs).collect()]
+    ids = {f: c for _, f, c in found}
+    assert [ids[f"{brute.simhash(t):016x}"] for _, t in rows] == [3, 3, None, None, None, 7, 7, 7]
+
+
 def test_tiles_miss_no_pair():
     r = np.random.default_rng(3)
     centre = r.integers(0, 2**63, 40, dtype=np.uint64)
