@@ -15,8 +15,8 @@ from ferryline.llm import exact_dedup, language_id, mixing, packing, simhash_ded
 from ferryline.llm.common import free_name, quoted
 from ferryline.workspace import fresh_dir
 
-#: A document whose best language is believed less than this is rejected.
-MIN_LANGUAGE_SCORE = 0.2
+#: A document with fewer of its letters explained by the languages is rejected.
+MIN_FIT = 0.5
 #: Seed of the mixture.
 MIX_SEED = 20
 #: Tokens in a training sequence.
@@ -28,7 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     that the languages learned from ``docs`` don't explain."""
     out = free_name(docs, "language")
     found = language_id.with_language(docs, language_id.learn(docs), out=out)
-    known = (quoted(out)["lang_pred"] != language_id.UNKNOWN) & (quoted(out)["score"] >= MIN_LANGUAGE_SCORE)
+    told = quoted(out)
+    known = (told["lang_pred"] != language_id.UNKNOWN) & (told["fit"] >= MIN_FIT)
     return found.where(known).select(docs.columns)
 
 

@@ -74,6 +74,8 @@ class Model:
     trigrams: np.ndarray  # TRIGRAMS x languages, log odds
     words: np.ndarray  # WORDS x languages, log odds
     allowed: np.ndarray  # scripts x languages, bool
+    seen: np.ndarray  # scripts with a letter among those learned from, bool
+    base: np.ndarray  # TRIGRAMS, what makes log odds log likelihoods over the background
 
 
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +147,7 @@ def learn(
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(counts))
     if not languages:
-        return Model((), np.zeros((TRIGRAMS, 0)), np.zeros((WORDS, 0)), np.zeros((OTHER + 1, 0), bool))
+        return Model((), np.zeros((TRIGRAMS, 0)), np.zeros((WORDS, 0)), np.zeros((OTHER + 1, 0), bool), np.zeros(OTHER + 1, bool), np.zeros(TRIGRAMS))
     shares = [x for k in languages for x in (F.lit(k), F.lit(min(1.0, per_language / counts[k])))]
     place = F.pmod(F.xxhash64(F.lit("learn"), F.coalesce("id", F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(place < F.element_at(F.create_map(*shares), F.col("lang"))).select("lang", "text")
@@ -189,14 +191,18 @@ def learn(
     for row in merged.toLocalIterator():  # a fixed number of counts for each language
         table[languages.index(row["lang"])] = np.frombuffer(row["counts"], np.int64)
 
-    def odds(own: np.ndarray) -> np.ndarray:
+    def odds(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         share = (own + 0.5) / (own.sum(1, keepdims=True) + 0.5 * own.shape[1])
         log = np.log(share)
-        return np.ascontiguousarray((log - log.mean(0)).T.astype(np.float32))
+        mean = log.mean(0)
+        return np.ascontiguousarray((log - mean).T.astype(np.float32)), mean
 
     letters = table[:, TRIGRAMS + WORDS :]
     allowed = letters >= np.maximum(SCRIPT_SHARE * letters.sum(1, keepdims=True), 1)
-    return Model(languages, odds(table[:, :TRIGRAMS]), odds(table[:, TRIGRAMS : TRIGRAMS + WORDS]), allowed.T)
+    trigrams, mean = odds(table[:, :TRIGRAMS])
+    words, _ = odds(table[:, TRIGRAMS : TRIGRAMS + WORDS])
+    base = (mean + np.log(TRIGRAMS)).astype(np.float32)
+    return Model(languages, trigrams, words, allowed.T, letters.sum(0) > 0, base)
 
 
 def word_scores(model: Model, length, script, cell, word) -> np.ndarray:
@@ -211,6 +217,20 @@ def word_scores(model: Model, length, script, cell, word) -> np.ndarray:
     return scores
 
 
+def explained_letters(model: Model, length, script, cell, path) -> np.ndarray:
+    """Per word, its letters whose trigram is likelier in the word's language
+    than in a background of equally likely cells (in a script that no
+    language is taken to use: in any language). No language is judged by
+    another, so it matters little how many there are."""
+    if not len(length):
+        return np.zeros(0)
+    best = model.trigrams[cell, np.repeat(path, length)]
+    alone = np.repeat(~model.allowed[script].any(1), length)
+    best[alone] = model.trigrams[cell[alone]].max(1)
+    more = (best + model.base[cell] > 0) & np.repeat(model.seen[script], length)
+    return np.add.reduceat(more.astype(np.int64), np.cumsum(np.r_[0, length[:-1]]))
+
+
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best label of each word in turn."""
     best = scores[0]
@@ -271,17 +291,20 @@ def with_language(
 ) -> DataFrame:
     """Every row of ``docs``, all its columns untouched, with one struct
     column more (``out``, or ``language`` prefixed until it clashes with
-    none): ``lang_pred, score, spans``.
+    none): ``lang_pred, score, spans, known, fit``.
 
     ``lang_pred`` is the language of most letters, ``score`` (0 to 1) their
     share of the letters times the model's belief in that language over the
     words so labelled; ``spans`` (``array<struct<start, end, lang>>``, in code
-    points) are the stretches of one language, in order.
+    points) are the stretches of one language, in order. ``known`` is the
+    share of the letters in scripts seen in learning, ``fit`` the share
+    that ``explained_letters`` counts: unlike ``score``, neither shares
+    belief out among the languages there are.
 
-    NULL and empty texts, and texts without letters, are ``und`` with score
-    0 and no spans, as is everything under a model of no languages. A text
+    NULL and empty texts, and texts without letters, are ``und`` with score,
+    known and fit 0 and no spans, as is everything under a model of no languages. A text
     whose letters are all in scripts the model has not seen gets the first
-    language with score 1 / languages. Long texts are read whole, decoded in
+    language with score 1 / languages, and known 0. Long texts are read whole, decoded in
     stretches of BATCH_CHARS code points. Repeated rows each get their row;
     an empty table gives no rows. The text column is a string.
     """
@@ -310,14 +333,17 @@ def with_language(
         text = np.searchsorted(ends, start, "right")
         which, first, counts = np.unique(text, return_index=True, return_counts=True)
         path, _ = decode(scores, counts, switch)
+        told = explained_letters(model, length, script, cell, path)
+        explained = np.stack([length * model.seen[script], told], 1)
         for k, a, n in zip(which.tolist(), first.tolist(), counts.tolist(), strict=True):
             i, at, _ = texts[k]
             part = slice(a, a + n)
             several = len(model.languages)
-            state = own.setdefault(i, [np.zeros(several), np.zeros((several, several)), []])
+            state = own.setdefault(i, [np.zeros(several), np.zeros((several, several)), [], np.zeros(2)])
             state[0] += np.bincount(path[part], length[part], several)
             np.add.at(state[1], path[part], scores[part])
             base = at - (int(ends[k - 1]) if k else 0)
+            state[3] += explained[part].sum(0)
             state[2] += [(s + base, e + base, lang) for s, e, lang in spans_of(path[part], start[part], length[part])]
 
     def label(batches):
@@ -337,9 +363,12 @@ def with_language(
                     size += len(part)
             if held:
                 stretch(own, held, tables)
-            preds, scores, spans = [], [], []
+            preds, scores, spans, known, fit = [], [], [], [], []
             for i in range(batch.num_rows):
-                letters, sums, found = own.get(i, (None, None, []))
+                letters, sums, found, explained = own.get(i, (None, None, [], np.zeros(2)))
+                shares = explained / letters.sum() if letters is not None else explained
+                known.append(float(shares[0]))
+                fit.append(float(shares[1]))
                 if letters is None:
                     preds.append(UNKNOWN)
                     scores.append(0.0)
@@ -350,13 +379,20 @@ def with_language(
                     scores.append(min(1.0, float(letters[top] / letters.sum()) * belief))
                 spans.append([{"start": s, "end": e, "lang": languages[x]} for s, e, x in found])
             found = pa.StructArray.from_arrays(
-                [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, kind)],
-                ["lang_pred", "score", "spans"],
+                [
+                    pa.array(preds, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(spans, kind),
+                    pa.array(known, pa.float64()),
+                    pa.array(fit, pa.float64()),
+                ],
+                ["lang_pred", "score", "spans", "known", "fit"],
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*inner, "found"])
 
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("lang", T.StringType())
     found = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("spans", T.ArrayType(span))
+    found = found.add("known", T.DoubleType()).add("fit", T.DoubleType())
     schema = T.StructType([*rows.schema.fields, T.StructField("found", found)])
     return rows.mapInArrow(label, schema).toDF(*names, out)
 
@@ -367,7 +403,7 @@ def identify(
     """``doc_id, lang_pred, score, spans`` of every row, as
     :func:`with_language` finds them."""
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
-    return with_language(rows, model, switch=switch, out="found").select("doc_id", "found.*")
+    return with_language(rows, model, switch=switch, out="found").select("doc_id", "found.lang_pred", "found.score", "found.spans")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import brute
+import pytest
 from conftest import SENTENCE, edge_rows
 
 import corpus_pipeline as pipeline
@@ -47,6 +49,28 @@ def test_stages(spark, tmp_path):
         assert sorted(map(str, found)) == sorted(map(str, left)), name
 
 
+@pytest.mark.parametrize("n", [1, 4, 8])
+def test_documents_in_no_language_go(spark, tmp_path, n):
+    """Whatever the number of languages there are to choose from."""
+    r = random.Random(n)
+    vocabulary = []
+    for _ in range(n):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyz", 14)
+        vocabulary.append(["".join(r.choices(letters, k=r.randint(3, 8))) for _ in range(150)])
+    rows = [
+        (i, " ".join(r.choices(vocabulary[i % n], k=80)), f"l{i % n}", "s", 0)
+        for i in range(100 * n)
+    ]
+    mash = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 9))) for _ in range(240)]
+    none = ["в начале было слово " * 9, "这是一个测试文本 " * 9, "ภาษาไทยง่ายมาก " * 9, " ".join(mash[:120]), " ".join(mash[120:])]
+    none += ["one word of " + "только кириллица " * 9, "1 2 3", ""]
+    mixed = " ".join(vocabulary[0][:40]) + " слово " + " ".join(vocabulary[-1][:40])
+    rows += [(10_000 + i, t, None, "s", 0) for i, t in enumerate(none)] + [(20_000, mixed, None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {x.doc_id for x in pipeline.identify_language(spark, docs, str(tmp_path)).collect()}
+    assert kept == {*range(100 * n), 20_000}
+
+
 def test_empty_documents(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in pipeline.STAGES:
