@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ferryline.llm import (
     chat_format,
+    clustering,
     exact_dedup,
     fingerprints,
     html_extract,
@@ -72,6 +73,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digest(fingerprints.edited_pairs(_table(spark, sf_dir, "documents")))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.digest(clustering.centroid_clusters(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, seed=1))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -83,8 +88,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
+
+def _clustering_sql(rounds: int) -> str:
+    """The rounds of op11, one after the other."""
+    text = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+e AS (SELECT rid, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q
+  FROM (SELECT q, sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v ORDER BY h, q LIMIT 16))"""
+    for r in range(rounds + 1):
+        text += f""",
+a{r} AS MATERIALIZED (
+  SELECT rid, c, d FROM (
+    SELECT rid, c, d, row_number() OVER (PARTITION BY rid ORDER BY d, c) AS k FROM (
+      SELECT rid, c, list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c{r}.q[i]) * (v.q[i] - c{r}.q[i])))::BIGINT AS d
+      FROM v, c{r})) WHERE k = 1)"""
+        if r < rounds:
+            text += f""",
+m{r} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{r} JOIN e USING (rid) GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.q, c{r}.q) AS q FROM c{r} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM m{r} GROUP BY c) n USING (c))"""
+    return text + f"""
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c{rounds}.q, lambda x: x::VARCHAR), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c) JOIN v USING (rid)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_mixing": """
 WITH n AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
@@ -157,4 +196,5 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
        CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """,
+    "op11_centroid_clustering": _clustering_sql(3),
 }
