@@ -19,6 +19,7 @@ from ferryline.llm import (
     language_id,
     mixing,
     packing,
+    periodic_runs,
     simhash_dedup,
     substring_dedup,
     suffix_dedup,
@@ -77,6 +78,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.digest(clustering.centroid_clusters(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, seed=1))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_planted_tails(_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.collapse_runs(planted, min_length=6, min_power=4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import xxhash
@@ -80,3 +81,67 @@ def winnowed(text: str, gram=3, window=4):
 def likeness(a, b):
     x, y = {h for h, _ in a}, {h for h, _ in b}
     return len(x & y) / len(x | y)
+
+
+def runs(own, min_length=6, min_power=4):
+    """``(start, length, period)`` of all periodic runs, every period tried."""
+    n, out = len(own), set()
+    for q in range(1, n // min_power + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and own[j] == own[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(min_length, min_power * q):
+                part = own[i : j + q]
+                if not any(part[r:] == part[:-r] for r in range(1, q)):
+                    out.add((i, j - i + q, q))
+            i = max(j, i + 1)
+    return sorted(out)
+
+
+def nearest(vectors, k=16, rounds=3, scale=64, dims=64):
+    """Rows ``(id, cluster, distance)``, sums and centroids, by trying all."""
+    kept = [
+        (i, [math.floor(scale * float(x)) for x in v])
+        for i, v in vectors
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    key = lambda r: (sha(f"1:{'' if r[0] is None else r[0]}"), r[1])
+    centroids = [v for _, v in sorted(kept, key=key)[:k]]
+
+    def assigned():
+        far = [[sum((x - y) ** 2 for x, y in zip(v, c, strict=True)) for c in centroids] for _, v in kept]
+        return [min((d, c) for c, d in enumerate(own)) for own in far]
+
+    for _ in range(rounds):
+        now = assigned()
+        for c in range(len(centroids)):
+            own = [v for (_, v), (_, n) in zip(kept, now, strict=True) if n == c]
+            if own:
+                centroids[c] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    now = assigned()
+    sums = [sum(d for d, n in now if n == c) for c in range(len(centroids))]
+    digests = [sha(",".join(map(str, c))) for c in centroids]
+    return [(i, c, d, sums[c], sum(sums), digests[c]) for (i, _), (d, c) in zip(kept, now, strict=True)]
+
+
+def set_of(text):
+    own = text.encode().lower().split()
+    if len(own) < 3:
+        return {tuple(own)} if own else set()
+    return {tuple(own[i : i + 3]) for i in range(len(own) - 2)}
+
+
+def linked_sets(rows, percent=85):
+    """Rows ``(id, size, component, kept)`` by comparing all pairs."""
+    sets = [(LAST if d is None else d, set_of(t or "")) for d, t in rows]
+    label = [d for d, _ in sets]
+    changed = True
+    while changed:
+        changed = False
+        for i, (_, a) in enumerate(sets):
+            for j, (_, b) in enumerate(sets):
+                if label[j] < label[i] and a and 100 * len(a & b) >= percent * len(a | b):
+                    label[i], changed = label[j], True
+    return [(d, len(s), c, d == c) for (d, s), c in zip(sets, label, strict=True)]
