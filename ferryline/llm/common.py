@@ -20,6 +20,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A key with more than this share of all rows is hot, so there are at most
+#: ``1 / HOT_SHARE`` hot keys, whatever the size of the input.
+HOT_SHARE = 1e-5
+#: Keys of fewer rows are not hot.
+SMALL_KEY = 1000
+
+
+def hot_join(rows: DataFrame, table: DataFrame, on: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has each key once and tells in
+    ``n_rows`` how many of the ``total`` rows have it. Rows of hot keys stay
+    where they are and get theirs by broadcast (at most ``1 / HOT_SHARE``
+    rows of ``table``); only the others are shuffled, so no task gets a hot
+    key whole."""
+    hot = F.col("n_rows") > max(SMALL_KEY, int(total * HOT_SHARE))
+    few = table.where(hot).drop("n_rows")
+    rest = rows.join(F.broadcast(few.select(on)), on, "left_anti").join(table.where(~hot).drop("n_rows"), on, how)
+    return rows.join(F.broadcast(few), on).unionByName(rest)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

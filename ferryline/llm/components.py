@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferryline.llm.common import checkpointed
-
-#: A node with more than this share of the edges is a hub, so there are never
-#: more than ``2 / HUB_SHARE`` of them: what is known of the hubs (two numbers
-#: each, 3 MB in all) is broadcast, whatever the size of the graph.
-HUB_SHARE = 1e-5
-#: Nodes of fewer edges are no hubs.
-SMALL_HUB = 1000
+from ferryline.llm.common import checkpointed, hot_join
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,17 +16,15 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps. Each is joins and
     aggregations of edges (a node's neighbours are never gathered), each
     round ends in the shared checkpoint folder, and the rounds grow with the
-    logarithm of the graph. A hub's edges stay where they are and meet the
-    hub's least neighbour by broadcast; only nodes below ``HUB_SHARE`` are
-    joined by shuffle, so no task gets a hub whole. Only a count and a
-    checksum reach the driver.
+    logarithm of the graph. The edges of a hub stay where they are and get
+    its least neighbour by broadcast (see ``hot_join``), so no task gets a hub
+    whole. Only a count and a checksum reach the driver.
     """
     oriented = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     oriented = checkpointed(oriented)
     before = _state(oriented)
     while before[0]:
-        hub = max(SMALL_HUB, int(before[0] * HUB_SHARE))
-        oriented = checkpointed(_small_star(_large_star(oriented, hub), hub))
+        oriented = checkpointed(_small_star(_large_star(oriented, before[0]), before[0]))
         after = _state(oriented)
         if after == before:
             break
@@ -47,24 +38,16 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], int(row["s"] or 0)
 
 
-def _with_least(edges: DataFrame, least: DataFrame, hub: int) -> DataFrame:
-    """``u, v, m``: the edges with the least neighbour of ``u``."""
-    hubs = F.broadcast(least.where(F.col("n") > hub).select("u", F.col("m").alias("hub_m")))
-    known = edges.join(hubs, "u", "left")
-    rest = known.where("hub_m IS NULL").select("u", "v").join(least.where(F.col("n") <= hub).select("u", "m"), "u")
-    return known.where("hub_m IS NOT NULL").select("u", "v", F.col("hub_m").alias("m")).unionByName(rest)
-
-
-def _large_star(edges: DataFrame, hub: int) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node's larger neighbours are tied to its least one (or itself)."""
     both = edges.union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
-    tied = _with_least(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows")).withColumn("m", F.least("u", "m"))
+    tied = hot_join(both.where("v > u"), least, "u", 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.distinct()
 
 
-def _small_star(edges: DataFrame, hub: int) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Every node and its smaller neighbours are tied to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    tied = _with_least(edges, least, hub).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
+    tied = hot_join(edges, least, "u", total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.union(least.select("u", F.col("m").alias("v"))).distinct()

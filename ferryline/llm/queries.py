@@ -17,6 +17,7 @@ from ferryline.llm import (
     fingerprints,
     html_extract,
     language_id,
+    minhash_dedup,
     mixing,
     packing,
     periodic_runs,
@@ -83,6 +84,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.collapse_runs(planted, min_length=6, min_power=4))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_dedup(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 
