@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import mixed
-from ferryline.llm.common import checkpointed, keyed_text, restored_id
+from ferryline.llm.common import checkpointed, hot_join, keyed_text, restored_id
 from ferryline.llm.components import components
 
 #: Symbols of a signature, chunks of it, and errors allowed within a chunk.
