@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +45,56 @@ def hot_join(rows: DataFrame, table: DataFrame, on: str, total: int, how: str =
     return rows.join(F.broadcast(few), on).unionByName(rest)
 
 
+#: Bits of a membership filter: 16 a key, within these powers of two (64 MB at most).
+LEAST_BITS, MOST_BITS = 20, 29
+
+
+def membership(keys: DataFrame, column: Column) -> Callable[[Column], Column]:
+    """A test of whether a long is among those of ``column``, by one bit of
+    its hash: always true of one that is, rarely of another (more often
+    beyond some 30 million keys; 64 MB at most are broadcast whatever their
+    number). It lets rows that surely have no partner skip a join's shuffle."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(16 * keys.count() + 1))))
+    shards = 16
+    size = (1 << bits) // shards
+
+    def fill(batches):
+        own: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            for shard in np.unique(place // size):
+                marks = own.setdefault(int(shard), np.zeros(size, bool))
+                marks[place[place // size == shard] % size] = True
+        for shard, marks in own.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([np.packbits(marks).tobytes()], pa.binary())],
+                ["shard", "bits"],
+            )
+
+    places = keys.select(F.shiftrightunsigned(F.xxhash64(column), 64 - bits).alias("place")).distinct()
+    dealt = places.repartition(shards, F.floor(F.col("place") / size))
+    filled = np.zeros(1 << (bits - 3), np.uint8)
+    for shard, own in dealt.mapInArrow(fill, "shard int, bits binary").collect():
+        filled[shard * size // 8 : (shard + 1) * size // 8] |= np.frombuffer(own, np.uint8)
+    sent = keys.sparkSession.sparkContext.broadcast(filled)
+
+    @F.pandas_udf("boolean")
+    def among(place: pd.Series) -> pd.Series:
+        at = place.to_numpy()
+        return pd.Series((sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+    return lambda value: among(F.shiftrightunsigned(F.xxhash64(value), 64 - bits))
+
+
+def left_join_few(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` left-joined with ``few``, which has partners for few of them:
+    rows that surely have none are not shuffled."""
+    few = checkpointed(few)
+    may = membership(few, F.xxhash64(*on))(F.xxhash64(*on))
+    alone = [F.lit(None).cast(f.dataType).alias(f.name) for f in few.schema.fields if f.name not in on]
+    return rows.where(may).join(few, on, "left").unionByName(rows.where(~may).select("*", *alone))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

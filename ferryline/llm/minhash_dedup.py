@@ -19,6 +19,7 @@ with all the others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from itertools import combinations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import mixed
-from ferryline.llm.common import checkpointed, hot_join, keyed_text, restored_id
+from ferryline.llm.common import checkpointed, hot_join, keyed_text, membership, restored_id
 from ferryline.llm.components import components
 
 #: Symbols of a signature, chunks of it, and errors allowed within a chunk.
@@ -158,16 +159,14 @@ def _may_link(n1: Column, n2: Column, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
-def _shared_keys(keys: DataFrame) -> DataFrame:
-    """``key, salt, node, sub, lead`` of the keys that several nodes have.
-    The nodes under one key are dealt over ``SALTS`` parts; the least of a
-    part is its ``sub``, the least of all the key's ``lead``. No step gathers
-    a key's nodes, only the at most ``SALTS`` parts of it."""
-    dealt = keys.withColumn("salt", F.pmod(F.xxhash64("key", "node"), F.lit(SALTS)).cast("int"))
-    parts = dealt.groupBy("key", "salt").agg(F.min("node").alias("sub"), F.max("node").alias("most"))
-    whole = Window.partitionBy("key")
-    parts = parts.withColumn("lead", F.min("sub").over(whole)).withColumn("last", F.max("most").over(whole))
-    return dealt.join(parts.where("last > lead").select("key", "salt", "sub", "lead"), ["key", "salt"])
+def _shared_keys(keys: DataFrame, total: int) -> DataFrame:
+    """``key, salt, node, n_key`` of the keys that several nodes have (of
+    ``total`` rows in all), and how many. The nodes under a key of more than
+    ``TILE`` are dealt over ``SALTS`` parts; no step gathers a key's nodes."""
+    counts = keys.groupBy("key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    shared = hot_join(keys, counts.withColumn("n_key", F.col("n_rows")), "key", total)
+    salt = F.when(F.col("n_key") > TILE, F.pmod(F.xxhash64("key", "node"), F.lit(SALTS))).otherwise(0)
+    return shared.select("key", salt.cast("int").alias("salt"), "node", "n_key")
 
 
 def _stars(shared: DataFrame) -> DataFrame:
@@ -175,6 +174,9 @@ def _stars(shared: DataFrame) -> DataFrame:
     only; and the least of each part with the least of the key. Parts differ
     from key to key, so a family that shares its keys is tied together, and
     no node is in more than a small part of the pairs."""
+    parts = shared.groupBy("key", "salt").agg(F.min("node").alias("sub"))
+    parts = parts.withColumn("lead", F.min("sub").over(Window.partitionBy("key")))
+    shared = shared.join(parts, ["key", "salt"])
     member = shared.where("node > sub").groupBy("node").agg(
         F.min_by("sub", F.xxhash64("key", F.lit(1))).alias("one"), F.min_by("sub", F.xxhash64("key", F.lit(2))).alias("two")
     )
@@ -208,18 +210,17 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
     what stands there, and to tiles of their own. A tile holds about ``TILE``
     rows, the rows compared with them stream by.
     """
-    rows = shared.select("key", "salt", "node").join(labels, "node", "left")
+    rows = shared.join(labels, "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
     parts = rows.groupBy("key", "salt").agg(
-        F.count("*").alias("n_part"),
         F.min("component").alias("lo"),
         F.max("component").alias("hi"),
         F.min_by("component", F.xxhash64("node", "key")).alias("vote"),
     )
     several = parts.groupBy("key").agg(
-        F.sum("n_part").alias("n_key"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.mode("vote").alias("main")
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.mode("vote").alias("main")
     )
-    several = several.where("lo < hi").select("key", "n_key", "main")
+    several = several.where("lo < hi").select("key", "main")
     rows = rows.join(parts.select("key", "salt").join(several, "key"), ["key", "salt"])
     rows = rows.join(nodes.select("node", "n", "sign"), "node")
     tiles = F.ceil(F.col("n_key") / TILE).cast("int")
@@ -285,10 +286,12 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    source = nodes.join(wanted, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
+    paired = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    source = nodes.join(paired, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
     # rows equal in both are one document; only it travels
-    texts = keyed.join(source, ["id", "th"]).groupBy("node").agg(F.any_value("text").alias("text"))
+    wanted = membership(source, F.xxhash64("id", "th"))
+    texts = keyed.where(wanted(F.xxhash64("id", "th"))).join(source, ["id", "th"])
+    texts = texts.groupBy("node").agg(F.any_value("text").alias("text"))
 
     def read(batches):
         for batch in batches:
@@ -335,7 +338,8 @@ def minhash_dedup(
     nodes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
     # a set as small as this differs from every other one in too great a part
     able = nodes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
-    shared = checkpointed(_shared_keys(_keys(able)))
+    ways = CHUNKS * math.comb(SYMBOLS // CHUNKS, CHUNK_ERRORS)
+    shared = checkpointed(_shared_keys(_keys(able), able.count() * ways))
     stars = checkpointed(_near(_stars(shared), able, percent))
     links = checkpointed(_confirmed(stars, able, keyed, shingle, percent))
     others = checkpointed(_outsiders(shared, able, components(links), percent))

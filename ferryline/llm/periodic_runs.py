@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import mixed
-from ferryline.llm.common import keyed_text, quoted, restored_id
+from ferryline.llm.common import keyed_text, left_join_few, quoted, restored_id
 
 #: Words in one stretch of the smallest octaves. Longer documents are
 #: exploded into stretches.
@@ -317,7 +317,7 @@ def collapse_runs(
                 ["id", "n_words", "runs", "collapsed"],
             )
 
-    joined = keyed.join(per, ["id", "th"], "left").select("id", "text", "runs")
+    joined = left_join_few(keyed, per, ["id", "th"]).select("id", "text", "runs")
     schema = "id long, n_words long, runs array<struct<start: long, length: long, period: long>>, collapsed string"
     return joined.mapInArrow(cut, schema).select(restored_id().alias("doc_id"), "n_words", "runs", "collapsed")
 
@@ -336,12 +336,8 @@ def with_planted_tails(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.withColumn("words", F.when(chosen, words)).withColumn("n", F.size("words").cast("long"))
     rows = rows.withColumn("g", F.expr("h div 10")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
     rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
-
-    def place(i: Column) -> Column:
-        moved = F.col("a") + (i - F.col("a")) % F.col("p")
-        return F.get("words", F.when(i < F.col("a"), i).otherwise(moved).cast("int"))
-
-    planted = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), place), " ")
+    tail = "flatten(array_repeat(slice(words, int(a + 1), int(p)), int(3 + g % 8 + 1)))"  # as long as the rest, or longer
+    planted = F.expr(f"array_join(slice(concat(slice(words, 1, int(a)), {tail}), 1, int(n)), ' ')")
     return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
 
 

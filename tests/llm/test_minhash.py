@@ -82,15 +82,16 @@ def test_signatures_estimate_the_similarity():
     assert abs(np.mean(apart) / mh.SYMBOLS - 40 / 340) < 0.02
 
 
-def test_a_hot_family_is_tied_by_few_pairs(spark):
+def test_a_hot_family_is_tied_by_few_pairs(spark, monkeypatch):
     """No node is in more than a small part of the candidate pairs, and the
     pairs grow with the family, not with its square."""
+    monkeypatch.setattr(mh, "TILE", 64)
     rng = random.Random(7)
     base = [f"w{i}" for i in range(300)]
     docs = spark.createDataFrame(list(enumerate(family(rng, base, 800, 6))), "doc_id long, text string")
     rows = mh._documents(mh.keyed_text(docs), 3)
     nodes = mh.checkpointed(rows.selectExpr("id AS node", "n", "sign"))
-    pairs = mh._stars(mh._shared_keys(mh._keys(nodes))).toPandas()
+    pairs = mh._stars(mh._shared_keys(mh._keys(nodes), 800 * 32)).toPandas()
     assert len(pairs) < 800 * 40
     assert max(pairs["a"].value_counts().max(), pairs["b"].value_counts().max()) < len(pairs) / 8
     assert mh.minhash_dedup(docs).where("component_id = 0").count() == 800
