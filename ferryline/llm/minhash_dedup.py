@@ -8,13 +8,16 @@ chunks, two signatures that differ in at most ``MOST_APART`` symbols differ in
 at most ``CHUNK_ERRORS`` symbols of some chunk (pigeonhole). So every chunk
 gives a key for each way to err in it: the chunk without the erring symbols.
 All pairs within ``MOST_APART`` meet under a key, whatever the data. Pairs
-that met are compared by their whole signatures, and confirmed on full sets.
+that met are compared by their whole signatures and by a longer sketch (the
+least hash in each of 512 parts of the hash range), and confirmed on full sets.
 
 Pairs are not sought where they can't change the result. First every document
 is tied to some that share its keys (stars, not pairs, however many share a
-key); the links confirmed make groups. Then, only where a key's documents are
-in different groups still, those outside the key's main group are compared
-with all the others.
+key), foremost to the one whose keys are shared most, the middle of a family
+of copies; the links confirmed make groups. Where a key's documents are in different
+groups still, those outside the key's main group are compared with all the
+others, and the likeliest pair of each is confirmed, as long as that links
+many; then all pairs left are.
 """
 
 from __future__ import annotations
@@ -31,7 +34,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import mixed
-from ferryline.llm.common import checkpointed, hot_join, keyed_text, membership, restored_id
+from ferryline.llm.common import (
+    HOT_SHARE,
+    SMALL_KEY,
+    checkpointed,
+    hot_join,
+    keyed_text,
+    membership,
+    restored_id,
+)
 from ferryline.llm.components import components
 
 #: Symbols of a signature, chunks of it, and errors allowed within a chunk.
@@ -40,6 +51,9 @@ SYMBOLS, CHUNKS, CHUNK_ERRORS = 32, 8, 1
 #: pairs of similarity 0.85, 3 in a million lie farther apart, of those of 0.9
 #: less than 1 in 10**8.
 MOST_APART = CHUNKS * (CHUNK_ERRORS + 1) - 1
+#: Bins of the sketch, and how many standard deviations below the similarity
+#: asked for a pair may be estimated: 1 in 100,000 pairs at it lies below.
+BINS, DEVIATIONS = 512, 4.5
 #: Parts that the documents under one key are dealt over.
 SALTS = 64
 #: Documents under one key that are held at a time.
@@ -97,6 +111,28 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def sketch(hashed: np.ndarray) -> np.ndarray:
+    """The least hash of a sorted set in each bin of the hash range, as 1 to
+    255; 0 where there is none."""
+    out = np.zeros(BINS, np.uint8)
+    bins, first = np.unique(hashed >> np.uint64(64 - int(math.log2(BINS))), return_index=True)
+    out[bins.astype(np.int64)] = (mixed(hashed[first]) % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def likeness(one: np.ndarray, two: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity by the sketches, row by row, and whether it
+    leaves it possible that the sets (of ``size`` in sum) are similar enough.
+    The bins in use are a sample of the union, drawn without replacement: of
+    a small union nearly all of it."""
+    bins = ((one > 0) | (two > 0)).sum(1)
+    equal = ((one == two) & (one > 0)).sum(1)
+    share = percent / 100
+    left_out = np.maximum(1 - bins * (1 + share) / size, 0)
+    slack = DEVIATIONS * np.sqrt(bins * share * (1 - share) * left_out) + 2
+    return equal / bins, equal >= bins * share - slack
+
+
 def chunk_keys(signs: np.ndarray) -> np.ndarray:
     """The keys of each signature, one column for each chunk and way to err."""
     size = SYMBOLS // CHUNKS
@@ -112,8 +148,8 @@ def chunk_keys(signs: np.ndarray) -> np.ndarray:
 
 
 def _documents(keyed: DataFrame, shingle: int) -> DataFrame:
-    """``id, th, digest, n, sign`` of every row: a digest of the set, its
-    size and its signature (NULL without words)."""
+    """``id, th, digest, n, sign, bins`` of every row: a digest of the set,
+    its size, its signature and its sketch (NULL without words)."""
 
     def read(batches):
         for batch in batches:
@@ -130,11 +166,12 @@ def _documents(keyed: DataFrame, shingle: int) -> DataFrame:
                         pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([next(signs).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["id", "th", "digest", "n", "sign"],
+                    ["id", "th", "digest", "n", "sign", "bins"],
                 )
 
-    return keyed.mapInArrow(read, "id long, th long, digest binary, n long, sign binary")
+    return keyed.mapInArrow(read, "id long, th long, digest binary, n long, sign binary, bins binary")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -154,6 +191,10 @@ def _signs(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SYMBOLS)
 
 
+def _bins(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BINS)
+
+
 def _may_link(n1: Column, n2: Column, percent: int) -> Column:
     """Sets of these sizes can reach the similarity."""
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
@@ -170,39 +211,58 @@ def _shared_keys(keys: DataFrame, total: int) -> DataFrame:
 
 
 def _stars(shared: DataFrame) -> DataFrame:
-    """``a, b``: every node with the least of its part, for two of its keys
-    only; and the least of each part with the least of the key. Parts differ
-    from key to key, so a family that shares its keys is tied together, and
-    no node is in more than a small part of the pairs."""
-    parts = shared.groupBy("key", "salt").agg(F.min("node").alias("sub"))
-    parts = parts.withColumn("lead", F.min("sub").over(Window.partitionBy("key")))
-    shared = shared.join(parts, ["key", "salt"])
-    member = shared.where("node > sub").groupBy("node").agg(
-        F.min_by("sub", F.xxhash64("key", F.lit(1))).alias("one"), F.min_by("sub", F.xxhash64("key", F.lit(2))).alias("two")
+    """``a, b``: every node with three others at most, where they are not
+    itself: of the nodes that share its keys, those whose own keys are shared
+    most (of all its keys, of one key, and of its part under one key)."""
+    score = shared.groupBy("node").agg(F.sum("n_key").alias("score"))
+    ranked = shared.join(score, "node").select("key", "salt", "node", F.struct("score", "node").alias("rank"))
+    parts = ranked.groupBy("key", "salt").agg(F.max("rank").alias("sub"))
+    parts = parts.withColumn("lead", F.max("sub").over(Window.partitionBy("key")))
+    member = ranked.join(parts, ["key", "salt"]).groupBy("node").agg(
+        F.max("lead").alias("best"),
+        F.min_by("lead", F.xxhash64("key", F.lit(1))).alias("lead"),
+        F.min_by("sub", F.xxhash64("key", F.lit(2))).alias("sub"),
     )
-    ties = member.select("node", "one").union(member.select("node", "two"))
-    heads = shared.where("node = sub AND sub > lead").select("sub", "lead")
-    return ties.union(heads).toDF("a", "b").distinct()
+    ties = [member.select(F.col("node").alias("a"), F.col(f"{c}.node").alias("b")) for c in ("best", "lead", "sub")]
+    return ties[0].union(ties[1]).union(ties[2]).where("a <> b").distinct()
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs within ``MOST_APART``, of sizes that can reach the similarity."""
-    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sign").alias("sign_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sign").alias("sign_b"))
+    one, two = (
+        nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "sign", "bins"))) for x in "ab"
+    )
 
     def apart(batches):
         for batch in batches:
             if batch.num_rows:
                 differ = (_signs(batch.column("sign_a")) != _signs(batch.column("sign_b"))).sum(1)
-                yield batch.select(["a", "b"]).filter(pa.array(differ <= MOST_APART))
-
-    met = pairs.join(one, "a").join(two, "b").where(_may_link(F.col("n_a"), F.col("n_b"), percent))
-    return met.select("a", "b", "sign_a", "sign_b").mapInArrow(apart, "a long, b long")
-
-
-def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+                size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+                _, near = likeness(_bins(batch.column("bins_a")), _bins(batch.column("bins_b")), size, percent)
+                yield batch.select(["a", "b"]).filter(pa.array((differ <= MOST_APART) & near))
+
+    met = _attached(_attached(pairs, one, "a"), two, "b").where(_may_link(F.col("n_a"), F.col("n_b"), percent))
+    met = met.select("a", "b", "n_a", "n_b", "sign_a", "sign_b", "bins_a", "bins_b")
+    return met.mapInArrow(apart, "a long, b long")
+
+
+def _attached(pairs: DataFrame, told: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with what is ``told`` of the node on one side. A node in many
+    pairs stands ``SALTS`` times in ``told`` and its pairs are dealt over
+    these; there are at most ``1 / HOT_SHARE`` such nodes."""
+    many = max(SMALL_KEY, int(pairs.count() * HOT_SHARE))
+    hubs = pairs.groupBy(side).agg(F.count("*").alias("hub")).where(F.col("hub") > many)
+    hubs = F.broadcast(hubs.select(side, F.lit(True).alias("hub")))
+    dealt = F.when(F.col("hub"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = pairs.join(hubs, side, "left").withColumn("salt", dealt).drop("hub")
+    right = told.join(hubs, side, "left").withColumn("salt", F.explode(every)).drop("hub")
+    return left.join(right, [side, "salt"]).drop("salt")
+
+
+def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: bool) -> DataFrame:
     """``a, b``: pairs within ``MOST_APART`` that share a key and are not in
-    one group.
+    one group; of each outsider only the likeliest one in a tile, or all.
 
     Of each key whose nodes are in several groups, one group is the main one
     (a vote of one node a part; any choice is right). Rows of the main group
@@ -222,7 +282,7 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
     )
     several = several.where("lo < hi").select("key", "main")
     rows = rows.join(parts.select("key", "salt").join(several, "key"), ["key", "salt"])
-    rows = rows.join(nodes.select("node", "n", "sign"), "node")
+    rows = rows.join(nodes.select("node", "n", "sign", "bins"), "node")
     tiles = F.ceil(F.col("n_key") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), tiles.cast("long")).cast("int")
     every = F.sequence(F.lit(0), tiles - 1)
@@ -238,8 +298,8 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
         F.transform(every, lambda t: place(2 * t + 1, 1)),
     )
     where = F.when(F.col("component") == F.col("main"), inside).otherwise(outside)
-    dealt = rows.select("key", "node", "component", "n", "sign", F.explode(where).alias("at"))
-    dealt = dealt.select("key", "at.tile", "at.guest", "node", "component", "n", "sign")
+    dealt = rows.select("key", "node", "component", "n", "sign", "bins", F.explode(where).alias("at"))
+    dealt = dealt.select("key", "at.tile", "at.guest", "node", "component", "n", "sign", "bins")
     ordered = dealt.repartition("key", "tile").sortWithinPartitions("key", "tile", "guest")
 
     def compare(batches):
@@ -251,10 +311,11 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
                 batch.column(c).to_numpy(zero_copy_only=False)
                 for c in ("key", "tile", "guest", "node", "component", "n")
             )
-            sign = _signs(batch.column("sign"))
+            sign, bins = _signs(batch.column("sign")), _bins(batch.column("bins"))
             if held is not None:
-                key, tile, guest, node, component, n, sign = (
-                    np.concatenate(x) for x in zip(held, (key, tile, guest, node, component, n, sign), strict=True)
+                key, tile, guest, node, component, n, sign, bins = (
+                    np.concatenate(x)
+                    for x in zip(held, (key, tile, guest, node, component, n, sign, bins), strict=True)
                 )
             fresh = np.r_[True, (np.diff(key) != 0) | (np.diff(tile) != 0)]
             first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
@@ -272,16 +333,30 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
                 open_ &= (tile[i] % 2 == 0) | (node[i] < node[j])
                 i, j = i[open_], j[open_]
                 near = (sign[i] != sign[j]).sum(1) <= MOST_APART
-                if near.any():
-                    one, two = node[i[near]], node[j[near]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"]
-                    )
+                i, j = i[near], j[near]
+                like, near = likeness(bins[i], bins[j], n[i] + n[j], percent)
+                i, j, like = i[near], j[near], like[near]
+                if best:
+                    order = np.lexsort((-like, j))
+                    order = order[np.r_[True, np.diff(j[order]) != 0][: len(order)]]
+                    one, two = node[i[order]], node[j[order]]
+                    yield _pairs(one, two)
+                    continue
+                # under the first of the keys that the two share
+                met = chunk_keys(sign[i]) == chunk_keys(sign[j])
+                once = chunk_keys(sign[i])[np.arange(len(i)), met.argmax(1)] == key[i]
+                if once.any():
+                    yield _pairs(node[i[once]], node[j[once]])
             last = np.arange(first[-1], len(key))
             last = last[guest[last] == 0]
-            held = [x[last] for x in (key, tile, guest, node, component, n, sign)] if len(last) else None
+            held = [x[last] for x in (key, tile, guest, node, component, n, sign, bins)] if len(last) else None
+
+    found = ordered.mapInArrow(compare, "a long, b long")
+    return found.distinct() if best else found
+
 
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+def _pairs(one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))], ["a", "b"])
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -306,7 +381,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: in
     sets = checkpointed(texts.mapInArrow(read, "node long, held array<long>"))
     one = sets.select(F.col("node").alias("a"), F.col("held").alias("held_a"))
     two = sets.select(F.col("node").alias("b"), F.col("held").alias("held_b"))
-    both = pairs.join(one, "a").join(two, "b")
+    both = _attached(_attached(pairs, one, "a"), two, "b")
     shared = F.size(F.array_intersect("held_a", "held_b"))
     both = both.select("a", "b", shared.alias("s"), (F.size("held_a") + F.size("held_b")).alias("n"))
     return both.where(100 * F.col("s") >= percent * (F.col("n") - F.col("s"))).select("a", "b")
@@ -332,7 +407,7 @@ def minhash_dedup(
     keyed = keyed_text(docs, id_col, text_col)
     rows = checkpointed(_documents(keyed, shingle))
     classes = rows.where("n > 0").groupBy("digest").agg(
-        F.min(F.struct("id", "th")).alias("rep"), F.any_value("n").alias("n"), F.any_value("sign").alias("sign"),
+        F.min(F.struct("id", "th")).alias("rep"), F.any_value("n").alias("n"), F.any_value("sign").alias("sign"), F.any_value("bins").alias("bins"),
         F.count("*").alias("n_rows"),
     )
     nodes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -340,11 +415,19 @@ def minhash_dedup(
     able = nodes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
     ways = CHUNKS * math.comb(SYMBOLS // CHUNKS, CHUNK_ERRORS)
     shared = checkpointed(_shared_keys(_keys(able), able.count() * ways))
-    stars = checkpointed(_near(_stars(shared), able, percent))
+    stars = checkpointed(_near(checkpointed(_stars(shared)), able, percent))
     links = checkpointed(_confirmed(stars, able, keyed, shingle, percent))
-    others = checkpointed(_outsiders(shared, able, components(links), percent))
-    links = links.union(checkpointed(_confirmed(others, able, keyed, shingle, percent)))
-    found = checkpointed(components(links))
+    found, best = checkpointed(components(links)), True
+    while True:
+        others = checkpointed(_outsiders(shared, able, found, percent, best))
+        more = checkpointed(_confirmed(others, able, keyed, shingle, percent))
+        linked = more.count()
+        if linked:
+            links = links.union(more)
+            found = checkpointed(components(links))
+        if not best:
+            break
+        best = 10 * linked > others.count()
     least = nodes.select("node", F.col("rep.id").alias("id")).join(found, "node")
     least = least.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
     grouped = hot_join(found, least, "component", found.count()).select("node", "least")
