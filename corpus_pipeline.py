@@ -10,13 +10,16 @@ lineage ends with it and a lost executor repeats tasks of one stage only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ferryline.llm import exact_dedup, language_id, mixing, packing, simhash_dedup
 from ferryline.llm.common import free_name, quoted
 from ferryline.workspace import fresh_dir
 
-#: A document with fewer of its letters explained by the languages is rejected.
+#: A document with fewer of its letters explained by the languages is rejected,
 MIN_FIT = 0.5
+#: unless its language is known by less than this (estimated) share of its text.
+MIN_COVERED = 0.95
 #: Seed of the mixture.
 MIX_SEED = 20
 #: Tokens in a training sequence.
@@ -25,12 +28,14 @@ SEQUENCE_TOKENS = 2048
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: NULL text or no letter, or letters
-    that the languages learned from ``docs`` don't explain."""
+    that the languages learned from ``docs`` don't explain. Where too little
+    was learned to tell (few labels or none), a document with letters stays."""
     out = free_name(docs, "language")
     found = language_id.with_language(docs, language_id.learn(docs), out=out)
     told = quoted(out)
-    known = (told["lang_pred"] != language_id.UNKNOWN) & (told["fit"] >= MIN_FIT)
-    return found.where(known).select(docs.columns)
+    thin = told["covered"] < MIN_COVERED
+    has_letters = F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")
+    return found.where(has_letters & (thin | (told["fit"] >= MIN_FIT))).select(docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

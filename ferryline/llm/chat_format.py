@@ -20,7 +20,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,23 +173,28 @@ def read_back(formatted: DataFrame, vocabulary: str | None = None) -> DataFrame:
     carried along the rows; no conversation is held whole."""
     vocabulary = vocabulary or default_vocabulary()
 
-    def conversations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(vocabulary)
         state = None
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
         def closed(s):
             return [s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5]]
 
+        def batch_of(done):
+            columns = list(zip(*done, strict=True)) or [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
         for batch in batches:
             done = []
-            for conv, place, ids, mask, text in zip(
-                batch["conv_id"], batch["place"], batch["token_ids"], batch["loss_mask"], batch["formatted"], strict=True
-            ):
+            read = ("conv_id", "place", "token_ids", "loss_mask", "formatted")
+            for conv, place, ids, mask, text in zip(*(batch.column(c).to_pylist() for c in read), strict=True):
                 if place == 0:
                     if state:
                         done.append(closed(state))
-                    state = [None if pd.isna(conv) else int(conv), 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 ids, mask = np.asarray(ids), np.asarray(mask)
                 role, own = parse_turn(encoding, ids)
                 learned = unescape(encoding.decode(ids[mask == 1].tolist()))
@@ -199,11 +203,11 @@ def read_back(formatted: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 state[3] += len(learned)
                 state[4].update(learned.encode("utf-8", "surrogatepass"))
                 state[5] += len(text)
-            yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
+            yield batch_of(done)
         if state:
-            yield pd.DataFrame([closed(state)], columns=names).astype({"conv_id": "Int64"})
+            yield batch_of([closed(state)])
 
-    return formatted.mapInPandas(
+    return formatted.mapInArrow(
         conversations,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

@@ -148,7 +148,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     copies = F.when(guest_of.isNull(), F.array(own)).otherwise(F.array(own, sent))
     spread = dealt.withColumn("to", F.explode(copies)).select("id", "text", "to.*")
     order = Window.partitionBy("part").orderBy("round", "id", "text")
-    return spread.repartition(parts, "part").withColumn("next", F.lead("text").over(order))
+    return spread.repartitionByRange(parts, "part").withColumn("next", F.lead("text").over(order))
 
 
 def edited_pairs(

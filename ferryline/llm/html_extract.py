@@ -235,7 +235,9 @@ def extract(
     parsed whole. NULL identifiers and urls and repeated rows stay as they
     are; an empty table gives no rows; other columns are not read.
     """
-    sent = pages.sparkSession.sparkContext.broadcast(trees or trained())
+    trees = trees or trained()
+    # plain arrays: executors need not know the class
+    sent = pages.sparkSession.sparkContext.broadcast((trees.base, trees.features, trees.thresholds, trees.leaves))
     rows = pages.select(
         quoted(id_col).cast("long").alias("page_id"),
         quoted(url_col).cast("string").alias("url"),
@@ -243,7 +245,7 @@ def extract(
     )
 
     def texts(batches):
-        trees = sent.value
+        trees = Trees(*sent.value)
         for batch in batches:
             found, held = [], []
 

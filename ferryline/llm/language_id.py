@@ -76,32 +76,39 @@ class Model:
     allowed: np.ndarray  # scripts x languages, bool
     seen: np.ndarray  # scripts with a letter among those learned from, bool
     base: np.ndarray  # TRIGRAMS, what makes log odds log likelihoods over the background
+    covered: np.ndarray  # per language, the share of new text's trigrams estimated to be among those learned
 
 
-def letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """Per code point: its script's number (0: no letter) and lower case."""
+def letter_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point: its script's number (0: neither letter nor mark), lower
+    case, and whether it is a letter and no mark."""
     script, lower = np.zeros(_TABLE, np.uint8), np.arange(_TABLE, dtype=np.uint32)
+    letter = np.zeros(_TABLE, bool)
     for cp in range(_TABLE):
         c = chr(cp)
         if c.isalpha() or (cp > 0x2FF and unicodedata.category(c)[0] == "M"):
-            script[cp] = OTHER
+            script[cp], letter[cp] = OTHER, c.isalpha()
             if len(low := c.lower()) == 1:
                 lower[cp] = ord(low)
     for number, ranges in enumerate(SCRIPTS.values(), 1):
         for first, last in ranges:
             own = script[first : last + 1]
             own[own > 0] = number
-    return script, lower
+    return script, lower, letter
 
 
 def words_in(points: np.ndarray, tables) -> tuple[np.ndarray, ...]:
     """``(start, length, script, trigram, word)``: each word's first code
     point, letters and script number, every letter's trigram cell (in order
     of the words) and each word's cell. A word is a run of letters of one
-    script."""
-    script, lower = tables
+    script, and of marks; marks alone are none."""
+    script, lower, letter = tables
     known = np.minimum(points, _TABLE - 1)
     kind = np.where(points < _TABLE, script[known], 0)
+    runs = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))
+    if len(runs):
+        told = np.add.reduceat(letter[known].astype(np.int64), runs)
+        kind[runs[0] :][np.repeat(told == 0, np.diff(np.r_[runs, len(kind)]))] = 0
     low = np.where(kind > 0, lower[known], 0).astype(np.uint64)
     edge = np.flatnonzero(np.diff(kind, prepend=np.uint8(0), append=np.uint8(0)))
     start, stop = edge[:-1], edge[1:]
@@ -147,7 +154,7 @@ def learn(
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(counts))
     if not languages:
-        return Model((), np.zeros((TRIGRAMS, 0)), np.zeros((WORDS, 0)), np.zeros((OTHER + 1, 0), bool), np.zeros(OTHER + 1, bool), np.zeros(TRIGRAMS))
+        return Model((), np.zeros((TRIGRAMS, 0)), np.zeros((WORDS, 0)), np.zeros((OTHER + 1, 0), bool), np.zeros(OTHER + 1, bool), np.zeros(TRIGRAMS), np.zeros(0))
     shares = [x for k in languages for x in (F.lit(k), F.lit(min(1.0, per_language / counts[k])))]
     place = F.pmod(F.xxhash64(F.lit("learn"), F.coalesce("id", F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(place < F.element_at(F.create_map(*shares), F.col("lang"))).select("lang", "text")
@@ -202,7 +209,11 @@ def learn(
     trigrams, mean = odds(table[:, :TRIGRAMS])
     words, _ = odds(table[:, TRIGRAMS : TRIGRAMS + WORDS])
     base = (mean + np.log(TRIGRAMS)).astype(np.float32)
-    return Model(languages, trigrams, words, allowed.T, letters.sum(0) > 0, base)
+    # Good and Turing: what was met once stands for what was not met
+    cells = table[:, :TRIGRAMS]
+    met = cells.sum(1)
+    covered = np.where(met > 0, 1 - (cells == 1).sum(1) / np.maximum(met, 1), 0)
+    return Model(languages, trigrams, words, allowed.T, letters.sum(0) > 0, base, covered)
 
 
 def word_scores(model: Model, length, script, cell, word) -> np.ndarray:
@@ -291,7 +302,7 @@ def with_language(
 ) -> DataFrame:
     """Every row of ``docs``, all its columns untouched, with one struct
     column more (``out``, or ``language`` prefixed until it clashes with
-    none): ``lang_pred, score, spans, known, fit``.
+    none): ``lang_pred, score, spans, known, fit, covered``.
 
     ``lang_pred`` is the language of most letters, ``score`` (0 to 1) their
     share of the letters times the model's belief in that language over the
@@ -299,10 +310,12 @@ def with_language(
     points) are the stretches of one language, in order. ``known`` is the
     share of the letters in scripts seen in learning, ``fit`` the share
     that ``explained_letters`` counts: unlike ``score``, neither shares
-    belief out among the languages there are.
+    belief out among the languages there are. ``covered`` tells how far
+    ``fit`` can be trusted: the share of new text in that language whose
+    trigrams are estimated to be among those learned.
 
     NULL and empty texts, and texts without letters, are ``und`` with score,
-    known and fit 0 and no spans, as is everything under a model of no languages. A text
+    known, fit and covered 0 and no spans, as is everything under a model of no languages. A text
     whose letters are all in scripts the model has not seen gets the first
     language with score 1 / languages, and known 0. Long texts are read whole, decoded in
     stretches of BATCH_CHARS code points. Repeated rows each get their row;
@@ -313,7 +326,7 @@ def with_language(
     text_at = [n.lower() for n in names].index(text_col.lower())
     inner = [f"c{i}" for i in range(len(names))]
     rows = docs.toDF(*inner)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
     def spans_of(path, start, length):
         cut = np.flatnonzero(np.diff(path)) + 1
@@ -323,7 +336,7 @@ def with_language(
     def stretch(own, texts, tables):
         """Adds to each text's letters by language, scores (of the words
         labelled so, in each language) and spans."""
-        model = sent.value
+        model = Model(*sent.value)
         points = np.concatenate([np.r_[p, np.uint32(10)] for _, _, p in texts])
         ends = np.cumsum([len(p) + 1 for _, _, p in texts])
         start, length, script, cell, word = words_in(points, tables)
@@ -347,7 +360,7 @@ def with_language(
             state[2] += [(s + base, e + base, lang) for s, e, lang in spans_of(path[part], start[part], length[part])]
 
     def label(batches):
-        tables, languages = letter_tables(), sent.value.languages
+        tables, languages = letter_tables(), sent.value[0]
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
         for batch in batches:
             own: dict[int, list] = {}
@@ -363,7 +376,7 @@ def with_language(
                     size += len(part)
             if held:
                 stretch(own, held, tables)
-            preds, scores, spans, known, fit = [], [], [], [], []
+            preds, scores, spans, known, fit, covered = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 letters, sums, found, explained = own.get(i, (None, None, [], np.zeros(2)))
                 shares = explained / letters.sum() if letters is not None else explained
@@ -372,10 +385,12 @@ def with_language(
                 if letters is None:
                     preds.append(UNKNOWN)
                     scores.append(0.0)
+                    covered.append(0.0)
                 else:
                     top = int(letters.argmax())
                     belief = 1.0 / float(np.exp(np.minimum(sums[top] - sums[top, top], 700)).sum())
                     preds.append(languages[top])
+                    covered.append(float(sent.value[-1][top]))
                     scores.append(min(1.0, float(letters[top] / letters.sum()) * belief))
                 spans.append([{"start": s, "end": e, "lang": languages[x]} for s, e, x in found])
             found = pa.StructArray.from_arrays(
@@ -385,14 +400,15 @@ def with_language(
                     pa.array(spans, kind),
                     pa.array(known, pa.float64()),
                     pa.array(fit, pa.float64()),
+                    pa.array(covered, pa.float64()),
                 ],
-                ["lang_pred", "score", "spans", "known", "fit"],
+                ["lang_pred", "score", "spans", "known", "fit", "covered"],
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*inner, "found"])
 
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("lang", T.StringType())
     found = T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("spans", T.ArrayType(span))
-    found = found.add("known", T.DoubleType()).add("fit", T.DoubleType())
+    found = found.add("known", T.DoubleType()).add("fit", T.DoubleType()).add("covered", T.DoubleType())
     schema = T.StructType([*rows.schema.fields, T.StructField("found", found)])
     return rows.mapInArrow(label, schema).toDF(*names, out)
 

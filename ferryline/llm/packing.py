@@ -1,12 +1,12 @@
 """Best-fit packing of documents into sequences, certified by bounds.
 
 Documents become token ids in Spark tasks; what is packed are slim records of
-their pieces. The pieces are dealt to partitions of bounded size and packed
+their pieces (a number and a length). The pieces are dealt to partitions of bounded size and packed
 best-fit decreasing. Dual-feasible functions give a lower bound on the bins
 of each partition and of the whole: a partition that meets its bound can't be
 packed better. Partitions with gaps, and bins left loose at partitions' ends,
 give their pieces to fewer, fresh partitions, which pack them again, until
-the whole meets its bound or there is one partition left.
+the whole meets its bound, one partition is left or a round saves no bin.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import re
 import sys
 import zlib
 from functools import reduce
-from itertools import accumulate, chain
+from itertools import accumulate, chain, count
 from types import ModuleType
 
 import numpy as np
@@ -29,8 +29,6 @@ from ferryline.llm.common import checkpointed, quoted
 
 #: Pieces in one partition, on average.
 PARTITION_PIECES = 40_000
-#: Rounds of exchange at most (each packs what was released, all of it).
-MAX_ROUNDS = 6
 #: Words whose ids a task remembers; the memory starts anew beyond.
 REMEMBERED_WORDS = 800_000
 #: Text bytes encoded at once.
@@ -214,8 +212,9 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _packed(pieces: DataFrame, parts: int, capacity: int, turn: int) -> DataFrame:
-    """Pieces with ``sequence_id, offset`` of one round, and what decides the
-    next: the fill of their sequence, and their partition's bins and bound."""
+    """``rid, length`` with ``sequence_id, offset`` of one round, and what
+    decides the next: the fill of their sequence, and how many bins their
+    partition has above its bound."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         lengths = pdf["length"].to_numpy()
@@ -228,7 +227,7 @@ def _packed(pieces: DataFrame, parts: int, capacity: int, turn: int) -> DataFram
 
     # salted by the round, so that each exchanges with other partitions
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("rid", F.lit(turn)), F.lit(parts)).cast("int"))
-    schema = f"{_PIECES}, rid long, sequence_id long, offset long, fill long, gap long"
+    schema = "rid long, length long, sequence_id long, offset long, fill long, gap long"
     return dealt.groupBy("part").applyInPandas(pack, schema)
 
 
@@ -256,19 +255,21 @@ def pack_documents(
     pieces = checkpointed(found.withColumn("rid", F.monotonically_increasing_id()))
     lengths = pieces.groupBy("length").agg(F.count("*").alias("n")).toPandas()  # at most ``capacity`` rows
     bound = lower_bound(lengths["length"].to_numpy(np.int64), lengths["n"].to_numpy(np.int64), capacity)
-    released, settled, bins = pieces, [], 0
-    for turn in range(MAX_ROUNDS):
+    released, settled, bins, before = pieces.select("rid", "length"), [], 0, None
+    for turn in count():
         parts = max(1, -(-released.count() // PARTITION_PIECES))
         packed = checkpointed(_packed(released, parts, capacity, turn))
         room = F.lit(capacity) - F.col("fill")
         loose = (room > 0) & ((F.col("gap") > 0) | (room > F.lit(capacity // 16)))
         total = packed.agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
-        if parts == 1 or bins + total <= bound or turn == MAX_ROUNDS - 1:
+        if parts == 1 or bins + total <= bound or (before is not None and bins + total >= before):
             settled.append(packed)
             break
+        before = bins + total
         settled.append(packed.where(~loose))
         bins += settled[-1].agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
-        released = packed.where(loose).drop("sequence_id", "offset", "fill", "gap")
-    return reduce(DataFrame.union, settled).select(
+        released = packed.where(loose).select("rid", "length")
+    places = reduce(DataFrame.union, settled).select("rid", "sequence_id", "offset")
+    return pieces.join(places, "rid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -81,3 +81,17 @@ def test_empty_documents(spark, tmp_path):
 def test_run_on_a_table(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns[:2] == ["doc_id", "piece"] and out.count() > 100
+
+
+@pytest.mark.parametrize("labels", [0, 2, 20])
+def test_few_labels_lose_no_document(spark, tmp_path, labels):
+    """What was learned from a handful of texts rejects none."""
+    sentences = ["The committee will publish its report in spring.", "Nobody had expected the river to rise so fast.",
+                 "Fresh bread is sold at the corner until noon.", "She wrote down every word of his long speech.",
+                 "Old maps often show islands that never existed."]
+    r = random.Random(labels)
+    rows = [(i, " ".join(r.sample(sentences, 2 if i < labels else 1)), "en" if i < labels else None, "s", 0) for i in range(40)]
+    rows += [(100, "1 2 3", None, "s", 0), (101, None, "en", "s", 0), (102, "́̂", None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {x.doc_id for x in pipeline.identify_language(spark, docs, str(tmp_path)).collect()}
+    assert kept == set(range(40))

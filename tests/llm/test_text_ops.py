@@ -285,3 +285,21 @@ def test_shortcut_equals_viterbi():
 
 def test_language_empty_table(nothing):
     assert language.predictions(nothing).count() == 0
+
+
+def test_large_identifiers_beside_nulls_stay_exact(spark):
+    big = 2**53 + 1
+    chats = spark.createDataFrame(
+        [(big, 0, "user", "a"), (None, 0, "user", "b"), (3, 0, "user", "c")], "conv_id long, turn int, role string, text string"
+    ).coalesce(1)
+    assert {r.conv_id for r in chat.read_back(chat.format_chats(chats)).collect()} == {big, None, 3}
+    docs = spark.createDataFrame([(big, "a b"), (None, "c"), (3, None)], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in packing.pack_documents(docs).collect()} == {big, None, 3}
+
+
+def test_marks_without_letters_are_no_language(spark):
+    rows = [(i, "some words of plain text " * 5, "en") for i in range(8)]
+    rows += [(50, "́̂ ̃", None), (51, "été", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predictions(docs).collect()}
+    assert found[50] == ("und", 0.0) and found[51][0] == "en"
