@@ -16,8 +16,8 @@ is tied to some that share its keys (stars, not pairs, however many share a
 key), foremost to the one whose keys are shared most, the middle of a family
 of copies; the links confirmed make groups. Where a key's documents are in different
 groups still, those outside the key's main group are compared with all the
-others, and the likeliest pair of each is confirmed, as long as that links
-many; then all pairs left are.
+others: the likeliest pair of each is confirmed first, then all pairs left
+between groups are.
 """
 
 from __future__ import annotations
@@ -250,9 +250,12 @@ def _attached(pairs: DataFrame, told: DataFrame, side: str) -> DataFrame:
     """``pairs`` with what is ``told`` of the node on one side. A node in many
     pairs stands ``SALTS`` times in ``told`` and its pairs are dealt over
     these; there are at most ``1 / HOT_SHARE`` such nodes."""
-    many = max(SMALL_KEY, int(pairs.count() * HOT_SHARE))
-    hubs = pairs.groupBy(side).agg(F.count("*").alias("hub")).where(F.col("hub") > many)
-    hubs = F.broadcast(hubs.select(side, F.lit(True).alias("hub")))
+    degrees = pairs.groupBy(side).agg(F.count("*").alias("hub"))
+    total, most = degrees.agg(F.sum("hub"), F.max("hub")).first()
+    many = max(SMALL_KEY, int((total or 0) * HOT_SHARE))
+    if (most or 0) <= many:
+        return pairs.join(told, side)
+    hubs = F.broadcast(degrees.where(F.col("hub") > many).select(side, F.lit(True).alias("hub")))
     dealt = F.when(F.col("hub"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int")).otherwise(0)
     every = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     left = pairs.join(hubs, side, "left").withColumn("salt", dealt).drop("hub")
@@ -417,17 +420,10 @@ def minhash_dedup(
     shared = checkpointed(_shared_keys(_keys(able), able.count() * ways))
     stars = checkpointed(_near(checkpointed(_stars(shared)), able, percent))
     links = checkpointed(_confirmed(stars, able, keyed, shingle, percent))
-    found, best = checkpointed(components(links)), True
-    while True:
-        others = checkpointed(_outsiders(shared, able, found, percent, best))
-        more = checkpointed(_confirmed(others, able, keyed, shingle, percent))
-        linked = more.count()
-        if linked:
-            links = links.union(more)
-            found = checkpointed(components(links))
-        if not best:
-            break
-        best = 10 * linked > others.count()
+    for best in (True, False):
+        others = checkpointed(_outsiders(shared, able, components(links), percent, best))
+        links = links.union(checkpointed(_confirmed(others, able, keyed, shingle, percent)))
+    found = checkpointed(components(links))
     least = nodes.select("node", F.col("rep.id").alias("id")).join(found, "node")
     least = least.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
     grouped = hot_join(found, least, "component", found.count()).select("node", "least")
