@@ -30,16 +30,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
 #: ``1 / HOT_SHARE`` hot keys, whatever the size of the input.
 HOT_SHARE = 1e-5
 #: Keys of fewer rows are not hot.
-SMALL_KEY = 1000
+SMALL_KEY = 10_000
 
 
-def hot_join(rows: DataFrame, table: DataFrame, on: str, total: int, how: str = "inner") -> DataFrame:
+def hot_join(
+    rows: DataFrame, table: DataFrame, on: str, total: int, how: str = "inner", most: int | None = None
+) -> DataFrame:
     """``rows`` joined with ``table``, which has each key once and tells in
     ``n_rows`` how many of the ``total`` rows have it. Rows of hot keys stay
     where they are and get theirs by broadcast (at most ``1 / HOT_SHARE``
     rows of ``table``); only the others are shuffled, so no task gets a hot
-    key whole."""
-    hot = F.col("n_rows") > max(SMALL_KEY, int(total * HOT_SHARE))
+    key whole. Where ``most`` tells that no key has more rows than that, it
+    is a plain join."""
+    limit = max(SMALL_KEY, int(total * HOT_SHARE))
+    if (total if most is None else most) <= limit:
+        return rows.join(table.drop("n_rows"), on, how)
+    hot = F.col("n_rows") > limit
     few = table.where(hot).drop("n_rows")
     rest = rows.join(F.broadcast(few.select(on)), on, "left_anti").join(table.where(~hot).drop("n_rows"), on, how)
     return rows.join(F.broadcast(few), on).unionByName(rest)

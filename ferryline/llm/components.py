@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     oriented = checkpointed(oriented)
     before = _state(oriented)
     while before[0]:
-        oriented = checkpointed(_small_star(_large_star(oriented, before[0]), before[0]))
+        most = _both(oriented).groupBy("u").count().agg(F.max("count")).first()[0]
+        oriented = checkpointed(_small_star(_large_star(oriented, before[0], most), before[0], most))
         after = _state(oriented)
         if after == before:
             break
@@ -38,16 +39,21 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], int(row["s"] or 0)
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.union(edges.select("v", "u"))
+
+
+def _large_star(edges: DataFrame, total: int, most: int) -> DataFrame:
     """Every node's larger neighbours are tied to its least one (or itself)."""
-    both = edges.union(edges.select("v", "u"))
+    both = _both(edges)
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows")).withColumn("m", F.least("u", "m"))
-    tied = hot_join(both.where("v > u"), least, "u", 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    tied = hot_join(both.where("v > u"), least, "u", 2 * total, most=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.distinct()
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
-    """Every node and its smaller neighbours are tied to the least of them."""
+def _small_star(edges: DataFrame, total: int, most: int) -> DataFrame:
+    """Every node and its smaller neighbours are tied to the least of them.
+    (No node has more of these than it had neighbours before the large star.)"""
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
-    tied = hot_join(edges, least, "u", total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    tied = hot_join(edges, least, "u", total, most=most).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.union(least.select("u", F.col("m").alias("v"))).distinct()

@@ -200,6 +200,10 @@ def _may_link(n1: Column, n2: Column, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
+def _most_rows(table: DataFrame) -> int:
+    return table.agg(F.max("n_rows")).first()[0] or 0
+
+
 def _shared_keys(keys: DataFrame, total: int) -> DataFrame:
     """``key, salt, node, n_key`` of the keys that several nodes have (of
     ``total`` rows in all), and how many. The nodes under a key of more than
@@ -426,11 +430,12 @@ def minhash_dedup(
     found = checkpointed(components(links))
     least = nodes.select("node", F.col("rep.id").alias("id")).join(found, "node")
     least = least.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
-    grouped = hot_join(found, least, "component", found.count()).select("node", "least")
+    least = checkpointed(least)
+    grouped = hot_join(found, least, "component", found.count(), most=_most_rows(least)).select("node", "least")
     named = nodes.select("digest", "node", "n_rows", F.col("rep.id").alias("id")).join(grouped, "node", "left")
     named = named.select("digest", "n_rows", F.coalesce("least", "id").alias("component"))
     told = rows.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
-    told = hot_join(told, named, "digest", rows.count(), "left")
+    told = hot_join(told, named, "digest", rows.count(), "left", most=_most_rows(nodes))
     component = F.coalesce("component", "id")
     return told.select(
         restored_id().alias("doc_id"),
