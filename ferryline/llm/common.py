@@ -33,6 +33,11 @@ HOT_SHARE = 1e-5
 SMALL_KEY = 10_000
 
 
+def hot_limit(total: int) -> int:
+    """A key of more rows than this, of ``total`` in all, is hot."""
+    return max(SMALL_KEY, int(total * HOT_SHARE))
+
+
 def hot_join(
     rows: DataFrame, table: DataFrame, on: str, total: int, how: str = "inner", most: int | None = None
 ) -> DataFrame:
@@ -42,7 +47,7 @@ def hot_join(
     rows of ``table``); only the others are shuffled, so no task gets a hot
     key whole. Where ``most`` tells that no key has more rows than that, it
     is a plain join."""
-    limit = max(SMALL_KEY, int(total * HOT_SHARE))
+    limit = hot_limit(total)
     if (total if most is None else most) <= limit:
         return rows.join(table.drop("n_rows"), on, how)
     hot = F.col("n_rows") > limit

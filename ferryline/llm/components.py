@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferryline.llm.common import checkpointed, hot_join
+from ferryline.llm.common import checkpointed, hot_join, hot_limit
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,47 +13,57 @@ def components(edges: DataFrame) -> DataFrame:
     that has an order, any direction): the least node it is connected to,
     itself included.
 
-    Alternating large-star and small-star steps. Each is joins and
-    aggregations of edges (a node's neighbours are never gathered), each
-    round ends in the shared checkpoint folder, and the rounds grow with the
-    logarithm of the graph. The edges of a hub stay where they are and get
-    its least neighbour by broadcast (see ``hot_join``), so no task gets a hub
-    whole. Only a count and a checksum reach the driver.
+    Alternating large-star and small-star steps until every node is tied to
+    the least one alone. Each step is shuffles and aggregations of edges (a
+    node's neighbours are never gathered), each round ends in the shared
+    checkpoint folder, and the rounds grow with the logarithm of the graph.
+    The edges of a hub stay where they are and get its least neighbour by
+    broadcast (see ``hot_join``), so no task gets a hub whole. Only counts
+    reach the driver.
     """
     oriented = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     oriented = checkpointed(oriented)
-    before = _state(oriented)
-    while before[0]:
-        most = _both(oriented).groupBy("u").count().agg(F.max("count")).first()[0]
-        oriented = checkpointed(_small_star(_large_star(oriented, before[0], most), before[0], most))
-        after = _state(oriented)
-        if after == before:
+    while True:
+        total, most, tangled = _shape(oriented)
+        if not tangled:
             break
-        before = after
+        oriented = checkpointed(_small_star(_large_star(oriented, total, most), total, most))
     found = oriented.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.union(oriented.select("v", "v").distinct())
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    return row["n"], int(row["s"] or 0)
+def _shape(edges: DataFrame) -> tuple[int, int, bool]:
+    """Edges, the most that one node has, and whether some node that is tied
+    to a smaller one has another edge still."""
 
+    def end(node: str, tied: int):
+        return F.struct(F.col(node).alias("node"), F.lit(tied).alias("tied"))
 
-def _both(edges: DataFrame) -> DataFrame:
-    return edges.union(edges.select("v", "u"))
+    ends = edges.select(F.explode(F.array(end("u", 1), end("v", 0))).alias("end")).select("end.*")
+    nodes = ends.groupBy("node").agg(F.count("*").alias("n"), F.sum("tied").alias("tied"))
+    row = nodes.agg(
+        F.sum("tied").alias("total"), F.max("n").alias("most"), F.max((F.col("tied") > 0) & (F.col("n") > 1)).alias("tangled")
+    ).first()
+    return row["total"] or 0, row["most"] or 0, bool(row["tangled"])
+
+
+def _with_least(edges: DataFrame, total: int, most: int) -> DataFrame:
+    """``edges`` with ``m``, the least ``v`` of their ``u``."""
+    if most <= hot_limit(total):
+        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
+    return hot_join(edges, least, "u", total, most=most)
 
 
 def _large_star(edges: DataFrame, total: int, most: int) -> DataFrame:
     """Every node's larger neighbours are tied to its least one (or itself)."""
-    both = _both(edges)
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows")).withColumn("m", F.least("u", "m"))
-    tied = hot_join(both.where("v > u"), least, "u", 2 * total, most=most).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.distinct()
+    both = _with_least(edges.select("u", "v").union(edges.select("v", "u")), 2 * total, most)
+    return both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
 def _small_star(edges: DataFrame, total: int, most: int) -> DataFrame:
     """Every node and its smaller neighbours are tied to the least of them.
     (No node has more of these than it had neighbours before the large star.)"""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
-    tied = hot_join(edges, least, "u", total, most=most).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return tied.union(least.select("u", F.col("m").alias("v"))).distinct()
+    told = _with_least(edges, total, most)
+    ends = told.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+    return ends.where("u <> v").distinct()

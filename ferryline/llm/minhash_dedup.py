@@ -35,10 +35,9 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import mixed
 from ferryline.llm.common import (
-    HOT_SHARE,
-    SMALL_KEY,
     checkpointed,
     hot_join,
+    hot_limit,
     keyed_text,
     membership,
     restored_id,
@@ -227,8 +226,8 @@ def _stars(shared: DataFrame) -> DataFrame:
         F.min_by("lead", F.xxhash64("key", F.lit(1))).alias("lead"),
         F.min_by("sub", F.xxhash64("key", F.lit(2))).alias("sub"),
     )
-    ties = [member.select(F.col("node").alias("a"), F.col(f"{c}.node").alias("b")) for c in ("best", "lead", "sub")]
-    return ties[0].union(ties[1]).union(ties[2]).where("a <> b").distinct()
+    others = F.array("best.node", "lead.node", "sub.node")
+    return member.select(F.col("node").alias("a"), F.explode(F.array_distinct(others)).alias("b")).where("a <> b")
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -245,39 +244,44 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 _, near = likeness(_bins(batch.column("bins_a")), _bins(batch.column("bins_b")), size, percent)
                 yield batch.select(["a", "b"]).filter(pa.array((differ <= MOST_APART) & near))
 
-    met = _attached(_attached(pairs, one, "a"), two, "b").where(_may_link(F.col("n_a"), F.col("n_b"), percent))
+    met = _attached(pairs, one, two).where(_may_link(F.col("n_a"), F.col("n_b"), percent))
     met = met.select("a", "b", "n_a", "n_b", "sign_a", "sign_b", "bins_a", "bins_b")
     return met.mapInArrow(apart, "a long, b long")
 
 
-def _attached(pairs: DataFrame, told: DataFrame, side: str) -> DataFrame:
-    """``pairs`` with what is ``told`` of the node on one side. A node in many
-    pairs stands ``SALTS`` times in ``told`` and its pairs are dealt over
-    these; there are at most ``1 / HOT_SHARE`` such nodes."""
-    degrees = pairs.groupBy(side).agg(F.count("*").alias("hub"))
-    total, most = degrees.agg(F.sum("hub"), F.max("hub")).first()
-    many = max(SMALL_KEY, int((total or 0) * HOT_SHARE))
-    if (most or 0) <= many:
-        return pairs.join(told, side)
-    hubs = F.broadcast(degrees.where(F.col("hub") > many).select(side, F.lit(True).alias("hub")))
-    dealt = F.when(F.col("hub"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int")).otherwise(0)
-    every = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    left = pairs.join(hubs, side, "left").withColumn("salt", dealt).drop("hub")
-    right = told.join(hubs, side, "left").withColumn("salt", F.explode(every)).drop("hub")
-    return left.join(right, [side, "salt"]).drop("salt")
-
-
-def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: bool) -> DataFrame:
-    """``a, b``: pairs within ``MOST_APART`` that share a key and are not in
-    one group; of each outsider only the likeliest one in a tile, or all.
-
-    Of each key whose nodes are in several groups, one group is the main one
-    (a vote of one node a part; any choice is right). Rows of the main group
-    stand in one tile each; the others go to every tile, to be compared with
-    what stands there, and to tiles of their own. A tile holds about ``TILE``
-    rows, the rows compared with them stream by.
-    """
-    rows = shared.join(labels, "node", "left")
+def _attached(pairs: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """``pairs`` with what ``one`` tells of node ``a`` and ``two`` of ``b``. A
+    node in many pairs stands ``SALTS`` times in what is told and its pairs
+    are dealt over these; there are at most ``1 / HOT_SHARE`` such nodes."""
+
+    def end(side: str) -> Column:
+        return F.struct(F.lit(side).alias("side"), F.col(side).alias("node"))
+
+    ends = pairs.select(F.explode(F.array(end("a"), end("b"))).alias("end")).select("end.*")
+    degrees = ends.groupBy("side", "node").agg(F.count("*").alias("hub"))
+    total, *most = degrees.agg(
+        F.sum(F.when(F.col("side") == "a", F.col("hub"))), *(F.max(F.when(F.col("side") == x, F.col("hub"))) for x in "ab")
+    ).first()
+    many = hot_limit(total or 0)
+    for side, told, top in zip("ab", (one, two), most, strict=True):
+        if (top or 0) <= many:
+            pairs = pairs.join(told, side)
+            continue
+        hubs = degrees.where((F.col("side") == side) & (F.col("hub") > many))
+        hubs = F.broadcast(hubs.select(F.col("node").alias(side), F.lit(True).alias("hub")))
+        dealt = F.when(F.col("hub"), F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)).cast("int")).otherwise(0)
+        every = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        left = pairs.join(hubs, side, "left").withColumn("salt", dealt).drop("hub")
+        right = told.join(hubs, side, "left").withColumn("salt", F.explode(every)).drop("hub")
+        pairs = left.join(right, [side, "salt"]).drop("salt")
+    return pairs
+
+
+def _divided(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``shared`` of keys whose nodes are in several groups, with
+    the node's group as ``component`` and one of them, the key's main one, as
+    ``main`` (a vote of one node a part; any choice is right)."""
+    rows = shared.join(groups, "node", "left")
     rows = rows.withColumn("component", F.coalesce("component", "node"))
     parts = rows.groupBy("key", "salt").agg(
         F.min("component").alias("lo"),
@@ -288,8 +292,18 @@ def _outsiders(shared: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.mode("vote").alias("main")
     )
     several = several.where("lo < hi").select("key", "main")
-    rows = rows.join(parts.select("key", "salt").join(several, "key"), ["key", "salt"])
-    rows = rows.join(nodes.select("node", "n", "sign", "bins"), "node")
+    return rows.join(parts.select("key", "salt").join(several, "key"), ["key", "salt"])
+
+
+def _outsiders(divided: DataFrame, nodes: DataFrame, percent: int, best: bool) -> DataFrame:
+    """``a, b``: pairs within ``MOST_APART`` that share a key and are not in
+    one group; of each outsider only the likeliest one in a tile, or all.
+
+    Rows of a key's main group stand in one tile each; the others go to every
+    tile, to be compared with what stands there, and to tiles of their own. A
+    tile holds about ``TILE`` rows, the rows compared with them stream by.
+    """
+    rows = divided.join(nodes.select("node", "n", "sign", "bins"), "node")
     tiles = F.ceil(F.col("n_key") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), tiles.cast("long")).cast("int")
     every = F.sequence(F.lit(0), tiles - 1)
@@ -370,6 +384,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: in
     """The pairs whose full sets are similar enough."""
     paired = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     source = nodes.join(paired, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
+    source = checkpointed(source)
     # rows equal in both are one document; only it travels
     wanted = membership(source, F.xxhash64("id", "th"))
     texts = keyed.where(wanted(F.xxhash64("id", "th"))).join(source, ["id", "th"])
@@ -388,7 +403,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: in
     sets = checkpointed(texts.mapInArrow(read, "node long, held array<long>"))
     one = sets.select(F.col("node").alias("a"), F.col("held").alias("held_a"))
     two = sets.select(F.col("node").alias("b"), F.col("held").alias("held_b"))
-    both = _attached(_attached(pairs, one, "a"), two, "b")
+    both = _attached(pairs, one, two)
     shared = F.size(F.array_intersect("held_a", "held_b"))
     both = both.select("a", "b", shared.alias("s"), (F.size("held_a") + F.size("held_b")).alias("n"))
     return both.where(100 * F.col("s") >= percent * (F.col("n") - F.col("s"))).select("a", "b")
@@ -424,14 +439,19 @@ def minhash_dedup(
     shared = checkpointed(_shared_keys(_keys(able), able.count() * ways))
     stars = checkpointed(_near(checkpointed(_stars(shared)), able, percent))
     links = checkpointed(_confirmed(stars, able, keyed, shingle, percent))
+    groups = checkpointed(components(links))
     for best in (True, False):
-        others = checkpointed(_outsiders(shared, able, components(links), percent, best))
-        links = links.union(checkpointed(_confirmed(others, able, keyed, shingle, percent)))
-    found = checkpointed(components(links))
-    least = nodes.select("node", F.col("rep.id").alias("id")).join(found, "node")
+        shared = checkpointed(_divided(shared, groups))  # groups only grow: no other key matters from here on
+        others = checkpointed(_outsiders(shared, able, percent, best))
+        links = checkpointed(_confirmed(others, able, keyed, shingle, percent))
+        if not links.isEmpty():
+            tied = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = checkpointed(components(tied.union(links)))
+        shared = shared.select("key", "salt", "node", "n_key")
+    least = nodes.select("node", F.col("rep.id").alias("id")).join(groups, "node")
     least = least.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("n_rows"))
     least = checkpointed(least)
-    grouped = hot_join(found, least, "component", found.count(), most=_most_rows(least)).select("node", "least")
+    grouped = hot_join(groups, least, "component", groups.count(), most=_most_rows(least)).select("node", "least")
     named = nodes.select("digest", "node", "n_rows", F.col("rep.id").alias("id")).join(grouped, "node", "left")
     named = named.select("digest", "n_rows", F.coalesce("least", "id").alias("component"))
     told = rows.select("id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
