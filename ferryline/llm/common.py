@@ -26,6 +26,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Frees the disk of shuffles that no table still in use was made from.
+    Spark deletes a shuffle's files once the driver's garbage collector finds
+    that nothing refers to it; a driver with little to do may not run it for
+    hours, while the executors' disks fill."""
+    spark.sparkContext._jvm.System.gc()
+
+
 #: A key with more than this share of all rows is hot, so there are at most
 #: ``1 / HOT_SHARE`` hot keys, whatever the size of the input.
 HOT_SHARE = 1e-5

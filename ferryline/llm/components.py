@@ -28,8 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         if not tangled:
             break
         oriented = checkpointed(_small_star(_large_star(oriented, total, most), total, most))
-    found = oriented.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return found.union(oriented.select("v", "v").distinct())
+    return oriented.select(F.explode(F.array("u", "v")).alias("node"), F.col("v").alias("component")).distinct()
 
 
 def _shape(edges: DataFrame) -> tuple[int, int, bool]:
@@ -57,7 +56,9 @@ def _with_least(edges: DataFrame, total: int, most: int) -> DataFrame:
 
 def _large_star(edges: DataFrame, total: int, most: int) -> DataFrame:
     """Every node's larger neighbours are tied to its least one (or itself)."""
-    both = _with_least(edges.select("u", "v").union(edges.select("v", "u")), 2 * total, most)
+    turned = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+    both = edges.select(F.explode(F.array(F.struct("u", "v"), turned)).alias("edge")).select("edge.*")
+    both = _with_least(both, 2 * total, most)
     return both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 

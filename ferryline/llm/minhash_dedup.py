@@ -40,6 +40,7 @@ from ferryline.llm.common import (
     hot_limit,
     keyed_text,
     membership,
+    release_shuffles,
     restored_id,
 )
 from ferryline.llm.components import components
@@ -382,7 +383,7 @@ def _pairs(one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    paired = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     source = nodes.join(paired, "node").select("node", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
     source = checkpointed(source)
     # rows equal in both are one document; only it travels
@@ -437,13 +438,18 @@ def minhash_dedup(
     able = nodes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
     ways = CHUNKS * math.comb(SYMBOLS // CHUNKS, CHUNK_ERRORS)
     shared = checkpointed(_shared_keys(_keys(able), able.count() * ways))
+    release_shuffles(docs.sparkSession)
     stars = checkpointed(_near(checkpointed(_stars(shared)), able, percent))
+    release_shuffles(docs.sparkSession)
     links = checkpointed(_confirmed(stars, able, keyed, shingle, percent))
+    release_shuffles(docs.sparkSession)
     groups = checkpointed(components(links))
     for best in (True, False):
         shared = checkpointed(_divided(shared, groups))  # groups only grow: no other key matters from here on
         others = checkpointed(_outsiders(shared, able, percent, best))
+        release_shuffles(docs.sparkSession)
         links = checkpointed(_confirmed(others, able, keyed, shingle, percent))
+        release_shuffles(docs.sparkSession)
         if not links.isEmpty():
             tied = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
             groups = checkpointed(components(tied.union(links)))
