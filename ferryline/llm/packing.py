@@ -32,7 +32,7 @@ PARTITION_PIECES = 40_000
 #: Words whose ids a task remembers; the memory starts anew beyond.
 REMEMBERED_WORDS = 800_000
 #: Text bytes encoded at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -62,54 +62,50 @@ class IdBytes:
     the ids of a text are those of its stretches between blanks and line
     ends, one after the other, and a stretch seen before need not be encoded
     again. (A special token's string holds no white space, so it lies inside
-    one stretch.) It also lowers case and parts letters from the marks that
-    follow them, so of a plain word only the lowered letters are encoded."""
+    one stretch.) It also parts letters from the marks that follow them, so a
+    blank put there changes no ids, and words with and without a full stop
+    are one; and it lowers case, so of a word of plain letters only the lowered
+    one is encoded."""
 
-    #: Letters whose lower case and composition are the same everywhere, then
-    #: marks; no apostrophe (contractions) and no ``<`` or ``|`` (special tokens).
-    plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*()-]*)")
+    #: Letters whose lower case and composition are the same everywhere.
+    letters = "A-Za-zÀ-ÖØ-öø-ÿ"
+    plain = re.compile(f"[{letters}]+")
+    #: No apostrophe among the marks (contractions) and no ``<`` or ``|`` (special tokens).
+    joint = f"([{letters}])([.,!?;:#$%&*()-])"
 
     def __init__(self, path: str):
         self.tokenizer, self.known = worker_memory(path)
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
+    def _encode(self, words: list[str]) -> None:
         for k in range(0, len(words), 10_000):
             part = words[k : k + 10_000]
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
             edges = list(accumulate((4 * len(own) for own in ids), initial=0))
-            out.update(zip(part, map(flat.__getitem__, map(slice, edges, edges[1:])), strict=True))
-        return out
-
-    def _learn(self, words: set[str]) -> None:
-        known, cores, odd = self.known, [], []
-        for word in words:
-            match = self.plain.fullmatch(word)
-            if match:
-                core, marks = match.groups()
-                cores.append((word, core.lower(), marks))
-            else:
-                odd.append(word)
-        fresh = {x for _, core, marks in cores for x in (core, marks) if x not in known}
-        known.update(self._encode([*fresh, *odd]))
-        for word, core, marks in cores:
-            known[word] = known[core] + known[marks]
+            self.known.update(zip(part, map(flat.__getitem__, map(slice, edges, edges[1:])), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        known, plain = self.known, self.plain.fullmatch
+        lowered = {w: low for w in words if (low := w.lower()) != w and plain(w)}
+        own = {w for w in words if w not in lowered}
+        self._encode([*own, *{low for low in lowered.values() if low not in own and low not in known}])
+        for word, low in lowered.items():
+            known[word] = known[low]
 
     def __call__(self, texts) -> list[bytes]:
         """The ids of each text of an Arrow array (or list) of strings."""
         lines = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
-        split = pc.split_pattern(lines, " ")
+        split = pc.split_pattern(pc.replace_substring_regex(lines, self.joint, r"\1 \2"), " ")
         words = split.flatten().dictionary_encode()
         distinct, known = words.dictionary.to_pylist(), self.known
-        fresh = {w for w in distinct if w not in known}
+        fresh = [w for w in distinct if w not in known]
         if len(known) + len(fresh) > REMEMBERED_WORDS:
             known.clear()
-            fresh = set(distinct)
+            fresh = distinct
         self._learn(fresh)
         found = [known[w] for w in distinct]
         # every word's ids, copied from where its distinct word's stand
-        sizes = np.array([len(x) for x in found], np.int64) >> 2
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
         word = words.indices.to_numpy()
         own = sizes[word]
@@ -141,11 +137,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_
     )
 
     def cut(batches):
+        import gc
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode, end = IdBytes(tokenizer), int(end_id).to_bytes(4, "little")
         for batch in batches:
+            gc.disable()  # millions of small lists and no cycle among them
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
             out = []
@@ -155,6 +153,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[at : at + 4 * capacity]
                         out.append((doc, piece, at // 4, len(own) // 4, zlib.crc32(own)))
+            gc.enable()
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(

@@ -173,6 +173,9 @@ def test_remembered_words_change_nothing():
     ids = packing.IdBytes(packing.default_tokenizer())
     odd = ["a<|endoftext|>b <|startoftext|>", "It's don't x\x1cy z \t\r\nend", "ΣΑΣ ΟΔΟΣ. é ǅ", "", "\n a\n",
            "1234 5,6 $$$ (Ünï) 日本語 🙂👍🏽", "it's. THE'S a.'s", "a​b ﬁ Å.. ..."]
+    r = random.Random(9)
+    signs = "aAbHKTéÉIßſ\u0301\u0307\u0331\u0338.,;:!?()-*'s <|> \n\x851\u037e="
+    odd += ["".join(r.choices(signs, k=r.randint(1, 40))) for _ in range(2_000)]
     for text in odd + odd:
         assert np.frombuffer(ids([text])[0], "<u4").tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
 
