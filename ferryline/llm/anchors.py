@@ -26,6 +26,10 @@ BATCH_TOKENS = 1 << 21
 _PLACE = np.uint64((1 << 24) - 1)
 #: Anchors a task gathers before it passes on what it counted.
 SKETCH_ANCHORS = 2_000_000
+#: A hash is hot if it is more than this share of all counted (so there are at
+#: most ``1 / HOT_SHARE`` in each row of a sketch), and more than ``HOT_LEAST``.
+HOT_SHARE = 1e-5
+HOT_LEAST = 256
 #: Cells in one shard of a sketch.
 SHARD_CELLS = 1 << 22
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -92,11 +96,14 @@ def pieces(tokens: Iterable, width: int, most: int = BATCH_TOKENS) -> Iterator[l
         yield batch
 
 
-def sketch_width(tokens: int, width: int, gram: int, max_cells: int) -> int:
-    """Cells for ``tokens`` tokens: four per expected anchor, a power of two
+def expected_anchors(tokens: int, width: int, gram: int) -> int:
+    return 2 * tokens // (width - gram + 2)
+
+
+def sketch_width(expected: int, max_cells: int) -> int:
+    """Cells to count ``expected`` hashes with: four for each, a power of two
     between one shard and ``max_cells``."""
-    anchors = 2 * tokens / (width - gram + 2)
-    return max(SHARD_CELLS, min(max_cells, 1 << math.ceil(math.log2(max(1.0, 4 * anchors)))))
+    return max(SHARD_CELLS, min(max_cells, 1 << math.ceil(math.log2(max(1.0, 4 * expected)))))
 
 
 def cells_of(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
@@ -105,17 +112,20 @@ def cells_of(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
     return (mixed(hashes ^ salt) >> np.uint64(64 - int(math.log2(cells)))).astype(np.int64)
 
 
-def repeated_anchors(
-    docs: DataFrame, anchors: Callable[[pa.RecordBatch], Iterator[np.ndarray]], cells: int, rows: int = 2
-) -> list[np.ndarray]:
-    """A count-min sketch of all anchors, as one bit per cell: counted twice
-    or more. Every partition counts its own anchors (sparse: the cells it
-    touched, with a mark for those counted twice), shards of cells are merged
-    by adding, and only the bits come back: ``rows * cells / 8`` bytes,
-    whatever the input's size. Counts are never too low, so an anchor that
-    occurs twice always has its bits set.
+def count_sketch(
+    docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], expected: int, max_cells: int, rows: int = 2
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """A count-min sketch of all ``hashes`` (about ``expected``), as one bit
+    per cell: counted twice or more; and per row the hot cells, in order.
+    Every partition counts its own hashes (sparse: the cells it touched, with
+    their counts up to 255), shards of cells are merged by adding, and only
+    the bits and the hot cells come back: ``rows * cells / 8`` bytes and at most
+    ``1 / HOT_SHARE`` cells a row, whatever the input's size. Bits are never
+    too few: a hash that occurs twice always has its bits set. (Hot cells
+    only decide where windows meet; counts cut at 255 may miss some.)
     """
-    shards = cells // SHARD_CELLS
+    cells = sketch_width(expected, max_cells)
+    shards, limit = cells // SHARD_CELLS, max(HOT_LEAST, int(expected * HOT_SHARE))
 
     def partition_sketch(batches):
         pack = zstandard.ZstdCompressor(level=1)
@@ -126,22 +136,22 @@ def repeated_anchors(
             for row in range(rows):
                 cell, count = np.unique(np.concatenate(held[row]), return_counts=True)
                 held[row].clear()
+                count = np.minimum(count, 255).astype(np.uint8)
                 cut = np.searchsorted(cell, np.arange(shards + 1) * SHARD_CELLS)
                 for s in range(shards):
                     if cut[s] < cut[s + 1]:
                         low = (cell[cut[s] : cut[s + 1]] % SHARD_CELLS).astype(np.uint32)
-                        twice = (count[cut[s] : cut[s + 1]] > 1).astype(np.uint32)
-                        marked = low << np.uint32(1) | twice
-                        yield row * shards + s, pack.compress(np.diff(marked, prepend=np.uint32(0)).tobytes())
+                        steps = np.diff(low, prepend=np.uint32(0)).tobytes()
+                        yield row * shards + s, pack.compress(steps + count[cut[s] : cut[s + 1]].tobytes())
 
         for batch in batches:
-            for hashes in anchors(batch):
+            for own in hashes(batch):
                 for row in range(rows):
-                    held[row].append(cells_of(hashes, row, cells))
-                kept += len(hashes)
-            if kept > SKETCH_ANCHORS:
-                yield _blobs(flush())
-                kept = 0
+                    held[row].append(cells_of(own, row, cells))
+                kept += len(own)
+                if kept > SKETCH_ANCHORS:
+                    yield _blobs(flush())
+                    kept = 0
         if kept:
             yield _blobs(flush())
 
@@ -150,19 +160,25 @@ def repeated_anchors(
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
-                count = counts.setdefault(bucket, np.zeros(SHARD_CELLS, np.uint8))
-                own = np.cumsum(np.frombuffer(unpack.decompress(blob.as_py()), np.uint32), dtype=np.uint32)
-                cell = own >> np.uint32(1)  # each cell once
-                count[cell] = np.minimum(count[cell] + 1 + (own & np.uint32(1)).astype(np.uint8), 2)
-        yield _blobs((bucket, np.packbits(count > 1).tobytes()) for bucket, count in counts.items())
+                count = counts.setdefault(bucket, np.zeros(SHARD_CELLS, np.uint32))
+                raw = unpack.decompress(blob.as_py())
+                n = len(raw) // 5
+                cell = np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.uint32)  # each cell once
+                count[cell] += np.frombuffer(raw, np.uint8, n, 4 * n)
+        for bucket, count in counts.items():
+            crowded = np.flatnonzero(count > limit).astype("<u4").tobytes()
+            yield _blobs([(bucket, np.packbits(count > 1).tobytes() + crowded)])
 
     schema = "bucket int, blob binary"
     merged = docs.mapInArrow(partition_sketch, schema).repartition(rows * shards, "bucket").mapInArrow(merge, schema)
     bits = [np.zeros(cells // 8, np.uint8) for _ in range(rows)]
+    hot: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(rows)]
+    size = SHARD_CELLS // 8
     for shard in merged.toLocalIterator():
         row, s = divmod(shard["bucket"], shards)
-        bits[row][s * SHARD_CELLS // 8 : (s + 1) * SHARD_CELLS // 8] = np.frombuffer(shard["blob"], np.uint8)
-    return bits
+        bits[row][s * size : (s + 1) * size] = np.frombuffer(shard["blob"], np.uint8, size)
+        hot[row].append(np.frombuffer(shard["blob"], "<u4", -1, size).astype(np.int64) + s * SHARD_CELLS)
+    return bits, [np.sort(np.concatenate(own)) for own in hot]
 
 
 def _blobs(rows) -> pa.RecordBatch:
@@ -185,6 +201,17 @@ def maybe_repeated(bits: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def is_hot(hot: list[np.ndarray], cells: int, hashes: np.ndarray) -> np.ndarray:
+    """Whether the sketch of ``cells`` cells a row counted each hash as hot."""
+    out = np.ones(len(hashes), bool)
+    for row, own in enumerate(hot):
+        if not len(own):
+            return np.zeros(len(hashes), bool)
+        cell = cells_of(hashes, row, cells)
+        out &= own[np.minimum(np.searchsorted(own, cell), len(own) - 1)] == cell
+    return out
+
+
 def text_size(docs: DataFrame) -> tuple[int, int]:
     """Rows and UTF-8 bytes of ``keyed_text``'s output."""
     row = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()

@@ -1,12 +1,12 @@
 """Substring dedup over word windows, behind a count-min prefilter.
 
-First pass: every partition sketches the anchors of its word windows (see
-``anchors``), the sketches are merged, and one bit per cell is sent out.
-Every window holds its anchor, so an anchor's count is never below a
-window's: a window whose anchor is estimated to occur once occurs once.
-Second pass: only windows estimated repeated travel, as 128-bit BLAKE2b
-digests of their words, to be grouped exactly; each group keeps the window
-of the smallest identifier.
+Every partition sketches its word windows, the sketches are merged, and one
+bit per cell is sent out: a window counted once occurs once. As windows are
+many, a sketch of their anchors (see ``anchors``) goes before: every window
+holds its anchor, so an anchor's count is never below a window's, and windows
+of anchors counted once need no cell of the windows' sketch. Last pass: only
+windows estimated repeated travel, as 128-bit BLAKE2b digests of their words,
+to be grouped exactly; each group keeps the window of the smallest identifier.
 """
 
 from __future__ import annotations
@@ -23,20 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import (
+    count_sketch,
+    expected_anchors,
+    is_hot,
     maybe_repeated,
     merged_spans,
     mixed,
     packed,
     pieces,
-    repeated_anchors,
-    sketch_width,
     text_size,
     window_runs,
     with_spans,
 )
 from ferryline.llm.common import keyed_text, restored_id
 
-#: The sketch's two rows take at most twice this many bits (128 MB in all).
+#: Cells in a row of the anchors' sketch, at most; its two rows take twice as
+#: many bits (128 MB). The windows' sketch has half as many at most.
 MAX_CELLS = 1 << 29
 #: Text bytes whose windows one bucket of the second pass gets, on average.
 BUCKET_BYTES = 8 << 20
@@ -86,42 +88,57 @@ def _batches(texts: Iterable[str], width: int):
         yield owner, offset, ends, words, _word_keys(words)
 
 
-def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELLS) -> DataFrame:
-    """``id, th, span``: stretches of words (packed start and end) covered by
-    windows that also start in a document with a smaller identifier.
-
-    ``docs`` is ``keyed_text`` output. A window of a document that occurs
-    again in the same document only is not repeated. The sketch grows with
-    the input up to ``max_cells`` cells a row; beyond, it filters less and
-    the second pass groups more windows, with the same result.
-    """
+def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
+    """``bucket, blob``: the windows estimated repeated."""
     gram = min(_GRAM, width)
     _, size = text_size(docs)
-    cells = sketch_width(size // 5, width, gram, max_cells)
     buckets = max(16, size // BUCKET_BYTES)
+    expected = expected_anchors(size // 5, width, gram)
+    broadcast = docs.sparkSession.sparkContext.broadcast
 
     def anchors(batch: pa.RecordBatch):
         for _, _, ends, _, keys in _batches((t.as_py() for t in batch.column("text")), width):
             yield window_runs(mixed(_rolled(keys, gram)), ends, width, gram)[2]
 
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
+    anchored = broadcast(count_sketch(docs, anchors, expected, max_cells))
+
+    def windows_of(texts):
+        """Batches with the windows whose anchors may be repeated: their
+        first word, their hash, and the hash they are dealt by. That is the
+        anchor's, which keeps neighbours together, or where the anchor is hot
+        their own: a template with one changing word has as many different
+        windows under one anchor as it has copies."""
+        bits, hot = anchored.value
+        for owner, offset, ends, words, keys in _batches(texts, width):
+            start, count, anchor = window_runs(mixed(_rolled(keys, gram)), ends, width, gram)
+            take = maybe_repeated(bits, anchor)
+            start, count, anchor = start[take], count[take], anchor[take]
+            at = np.repeat(start - np.cumsum(np.r_[0, count[:-1]]), count) + np.arange(count.sum())
+            if len(at):
+                own = mixed(_rolled(keys, width))[at]
+                crowded = np.repeat(is_hot(hot, 8 * len(bits[0]), anchor), count)
+                yield owner, offset, ends, words, at, own, np.where(crowded, own, np.repeat(anchor, count))
+
+    def windows(batch: pa.RecordBatch):
+        for *_, hashes, _ in windows_of(t.as_py() for t in batch.column("text")):
+            yield hashes
+
+    counted = broadcast(count_sketch(docs, windows, size // 15, max_cells // 2))
 
     def candidates(batches):
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
-            for owner, offset, ends, words, keys in _batches((t.as_py() for t in batch.column("text")), width):
-                start, count, hashes = window_runs(mixed(_rolled(keys, gram)), ends, width, gram)
-                take = maybe_repeated(bits.value, hashes)
-                start, count, hashes = start[take], count[take], hashes[take]
-                if not len(start):
+            texts = (t.as_py() for t in batch.column("text"))
+            for owner, offset, ends, words, at, hashes, deal in windows_of(texts):
+                take = maybe_repeated(counted.value[0], hashes)
+                at, bucket = at[take], (deal[take] % np.uint64(buckets)).astype(np.int64)
+                if not len(at):
                     continue
-                at = np.repeat(start - np.cumsum(np.r_[0, count[:-1]]), count) + np.arange(count.sum())
                 piece = np.searchsorted(ends, at, "right")
                 key1, key2 = _digests(words, at, width)
                 own = owner[piece]
                 place = at - np.r_[0, ends[:-1]][piece] + offset[piece]
-                bucket = np.repeat((hashes % np.uint64(buckets)).astype(np.int64), count)
                 # of the windows equal in this batch only those of the smallest
                 # identifier travel: a common passage costs one record a batch
                 order = np.lexsort((ids[own], key2, key1))
@@ -149,6 +166,19 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
             [pa.array(names, pa.int64()), pa.array(rows, pa.binary())], ["bucket", "blob"]
         )
 
+    return docs.mapInArrow(candidates, "bucket long, blob binary")
+
+
+def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELLS) -> DataFrame:
+    """``id, th, span``: stretches of words (packed start and end) covered by
+    windows that also start in a document with a smaller identifier.
+
+    ``docs`` is ``keyed_text`` output. A window of a document that occurs
+    again in the same document only is not repeated. The sketches grow with
+    the input up to ``max_cells`` cells a row; beyond, they filter less and
+    the last pass groups more windows, with the same result.
+    """
+
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         opened: list[list[np.ndarray]] = [[] for _ in range(5)]
         done: list[list[np.ndarray]] = [[] for _ in range(3)]
@@ -172,11 +202,7 @@ def repeated_windows(docs: DataFrame, width: int = 13, max_cells: int = MAX_CELL
         own, th, span = map(np.concatenate, done)
         return pd.DataFrame({"id": own, "th": th, "span": span})
 
-    return (
-        docs.mapInArrow(candidates, "bucket long, blob binary")
-        .groupBy("bucket")
-        .applyInPandas(group, "id long, th long, span long")
-    )
+    return _bucketed(docs, width, max_cells).groupBy("bucket").applyInPandas(group, "id long, th long, span long")
 
 
 def _runs(own, th, place, width):

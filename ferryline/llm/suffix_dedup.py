@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.llm.anchors import (
+    count_sketch,
+    expected_anchors,
     maybe_repeated,
     merged_spans,
     mixed,
     packed,
     pieces,
-    repeated_anchors,
-    sketch_width,
     text_size,
     window_runs,
     with_spans,
@@ -176,14 +176,14 @@ def _segments(blobs) -> tuple:
 def _bucketed(docs: DataFrame, width: int, max_cells: int) -> DataFrame:
     """``bucket, blob``: the segments whose anchors may be repeated."""
     _, size = text_size(docs)
-    cells = sketch_width(size, width, _GRAM, max_cells)
     buckets = max(16, size // BUCKET_BYTES)
 
     def anchors(batch: pa.RecordBatch):
         for _, _, ends, data in _batches((t.as_py() for t in batch.column("text")), width):
             yield window_runs(_grams(data, _GRAM), ends, width, _GRAM)[2]
 
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(docs, anchors, cells))
+    found, _ = count_sketch(docs, anchors, expected_anchors(size, width, _GRAM), max_cells)
+    bits = docs.sparkSession.sparkContext.broadcast(found)
 
     def candidates(batches):
         pack = zstandard.ZstdCompressor(level=3)

@@ -3,11 +3,15 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
 import pytest
+import zstandard
 from conftest import edge_rows
 
+from ferryline.llm import anchors
 from ferryline.llm import substring_dedup as words
 from ferryline.llm import suffix_dedup as suffixes
+from ferryline.llm.common import keyed_text
 
 
 def by_row(rows, found):
@@ -115,3 +119,42 @@ def test_groups_have_all_occurrences(spark):
 def test_empty_tables(nothing):
     assert suffixes.suffix_dedup(nothing).count() == 0
     assert words.substring_dedup(nothing).count() == 0
+
+
+def template_rows(n: int = 400):
+    """A template with one changing word, which stands in every document."""
+    r = random.Random(5)
+    return [
+        (i, f"we hereby confirm that your order with number {r.randrange(n // 2)} has been sent today by post")
+        for i in r.sample(range(10 * n), n)
+    ]
+
+
+def windows_sent(docs):
+    """Windows in each bucket of the last pass."""
+    counts: dict[int, int] = {}
+    for r in words._bucketed(keyed_text(docs), 13, 1 << 23).collect():
+        n, _ = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.blob), "<i8", 2)
+        counts[r.bucket] = counts.get(r.bucket, 0) + int(n)
+    return counts
+
+
+def test_windows_of_a_hot_anchor_are_spread(spark, monkeypatch):
+    rows = template_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = brute.removed(rows, 13, brute.words, " ".join)
+    expected = {d: (n, gone, digest) for (d, _), (n, gone, _, digest) in zip(rows, expected, strict=True)}
+    most = []
+    for least in (1 << 30, 20):
+        monkeypatch.setattr(anchors, "HOT_LEAST", least)
+        sent = windows_sent(docs)
+        most.append(max(sent.values()) / sum(sent.values()))
+        assert {r[0]: tuple(r)[1:] for r in words.digest(words.substring_dedup(docs)).collect()} == expected
+    assert most[0] > 0.4 and most[1] < 0.2
+
+
+def test_only_repeated_windows_travel(spark):
+    r = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(30)]  # grams of three words recur, windows of thirteen don't
+    docs = spark.createDataFrame([(i, " ".join(r.choices(vocabulary, k=300))) for i in range(200)], "doc_id long, text string")
+    assert sum(windows_sent(docs).values()) < 0.01 * 200 * 288
