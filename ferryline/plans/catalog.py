@@ -85,6 +85,9 @@ def _dec(c: str):
 
 # ----------------------------------------------------------------- inputs
 
+# How the accident lines are stored: compressed, in files that one task reads.
+CSV_FILES = {"compression": "lz4", "lines_per_file": 1_000_000}
+
 # Transport-form inputs written ahead of the queries, by (table folder, name);
 # a query whose input is not here makes it as part of its run.
 _PREPARED: dict[tuple[str, str], str] = {}
@@ -129,7 +132,7 @@ def _accident_csv(spark: SparkSession, sf_dir: str) -> str:
     if (sf_dir, "csv") in _PREPARED:
         return _PREPARED[sf_dir, "csv"]
     path = fresh_dir(spark, "accident-csv")
-    write_lines(_lines(spark, sf_dir), path, header=CSV_HEADER)
+    write_lines(_lines(spark, sf_dir), path, header=CSV_HEADER, **CSV_FILES)
     return path
 
 
@@ -141,7 +144,8 @@ def raw_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     and is data there."""
     again = table(spark, sf_dir, "nation").select(F.lit(CSV_HEADER).alias("value"))
     path = fresh_dir(spark, "accident-csv")
-    write_lines(_lines(spark, sf_dir).select("value").unionByName(again), path, header=CSV_HEADER)
+    lines = _lines(spark, sf_dir).select("value").unionByName(again)
+    write_lines(lines, path, header=CSV_HEADER, **CSV_FILES)
     return raw_lines(spark, path)
 
 

@@ -62,16 +62,27 @@ def _line_dropper() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     return without_first_lines
 
 
-def write_lines(df: DataFrame, path: str, header: str | None = None, line_col: str = "value") -> None:
+def write_lines(
+    df: DataFrame,
+    path: str,
+    header: str | None = None,
+    line_col: str = "value",
+    compression: str = "none",
+    lines_per_file: int = 0,
+) -> None:
     """Write one text line per row, verbatim (empty and blank lines too);
     ``header`` (if given) opens every file.
 
-    Each write task writes one file (no rolling by record count), so the
-    header goes before the task's first row: the row whose
-    ``monotonically_increasing_id`` has row number 0 within its task.
+    Each write task writes one file, or rolls to its next one after
+    ``lines_per_file`` rows, so the header goes before the rows whose
+    ``monotonically_increasing_id`` has such a row number within its task.
+    ``compression`` is a codec of Spark's text writer; most make files that
+    one task reads whole, so give ``lines_per_file`` with it.
     """
     line = F.col(line_col)
     if header is not None:
-        first_of_task = (F.monotonically_increasing_id() % F.lit(_TASK_ROWS)) == 0
-        line = F.when(first_of_task, F.concat(F.lit(header + "\n"), F.coalesce(line, F.lit("")))).otherwise(line)
-    df.select(line.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).text(path)
+        row = F.monotonically_increasing_id() % F.lit(_TASK_ROWS)
+        opens = (row % F.lit(lines_per_file) if lines_per_file else row) == 0
+        line = F.when(opens, F.concat(F.lit(header + "\n"), F.coalesce(line, F.lit("")))).otherwise(line)
+    writer = df.select(line.alias("value")).write.mode("overwrite").option("compression", compression)
+    writer.option("maxRecordsPerFile", lines_per_file).text(path)

@@ -288,3 +288,14 @@ def test_header_is_line_one_of_each_file_and_nothing_else(spark, tmp_root, split
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert found == sorted(expected)
     assert dense == sorted(x for x in expected if x)
+
+
+def test_write_lines_rolls_compressed_files_each_with_its_header(spark):
+    import glob
+
+    text = [["a,b", "", "H", None, f'{i},"x"'][i % 5] for i in range(230)]
+    out = fresh_dir(spark, "lines")
+    df = spark.createDataFrame([(x,) for x in text], "value string").coalesce(1)
+    write_lines(df, out, header="H", compression="lz4", lines_per_file=100)
+    assert len(glob.glob(out.replace("file:", "") + "/part-*.lz4")) == 3
+    assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(x or "" for x in text)
