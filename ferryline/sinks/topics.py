@@ -36,7 +36,9 @@ def topic_rows(messages: DataFrame, cfg: TopicConfig) -> DataFrame:
 
 
 def write_topic(messages: DataFrame, cfg: TopicConfig) -> None:
-    """Append messages to the topic (batch write, one producer per task)."""
+    """Append messages to the topic (batch write, one producer per task).
+    A file-backed topic is compressed with zstd: messages
+    repeat each other's field names and values."""
     if cfg.is_kafka:
         keep = [c for c in ("key", "value", "partition", "headers") if c in messages.columns]
         (
@@ -48,4 +50,4 @@ def write_topic(messages: DataFrame, cfg: TopicConfig) -> None:
             .save()
         )
         return
-    topic_rows(messages, cfg).write.mode("append").parquet(cfg.path)
+    topic_rows(messages, cfg).write.mode("append").option("compression", "zstd").parquet(cfg.path)

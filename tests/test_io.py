@@ -299,3 +299,31 @@ def test_write_lines_rolls_compressed_files_each_with_its_header(spark):
     write_lines(df, out, header="H", compression="lz4", lines_per_file=100)
     assert len(glob.glob(out.replace("file:", "") + "/part-*.lz4")) == 3
     assert sorted(r.value for r in raw_lines(spark, out).collect()) == sorted(x or "" for x in text)
+
+
+def test_published_lines_and_messages_are_stored_compressed(spark, tmp_path):
+    """The bytes that publish_keyed_lines and stream_ingest_lines write stay
+    well under those of the lines and messages themselves."""
+    import datetime as dt
+
+    from ferryline.plans import catalog
+
+    rows = [(i, i * 7 % 900, i % 90, i % 7 + 1, i % 50 + 0.5, i % 10 / 100, i % 8 / 100, "ANR"[i % 3], "FO"[i % 2],
+             dt.datetime(1995, 1, 1) + dt.timedelta(i % 900)) for i in range(4000)]
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plain = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    plain = sum(len(r.value) for r in catalog.accident_lines(plain).collect())
+
+    def stored(path):
+        return sum(e.stat().st_size for e in os.scandir(path.replace("file:", "")))
+
+    csv = catalog._accident_csv(spark, str(tmp_path))
+    assert stored(csv) < plain / 2
+    messages = catalog.publish_keyed_lines(spark, str(tmp_path))
+    assert messages.count() == len(rows)
+    topic = os.path.dirname(messages.inputFiles()[0].replace("file://", "").replace("file:", ""))
+    assert stored(topic) < plain / 5
