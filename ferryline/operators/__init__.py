@@ -6,6 +6,7 @@ from ferryline.operators.changes import (
     keep_fields,
     payload_text,
     unwrap_after,
+    unwrap_after_in_arrow,
     unwrap_after_three_step,
     with_parsed,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "split_fields",
     "typed_select",
     "unwrap_after",
+    "unwrap_after_in_arrow",
     "unwrap_after_three_step",
     "with_parsed",
 ]

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ferryline.config import TopicConfig
-from ferryline.operators.changes import keep_fields, unwrap_after
+from ferryline.operators.changes import keep_fields, unwrap_after_in_arrow
 from ferryline.operators.decode import decode_messages
 from ferryline.operators.lines import keyed_messages, split_fields
 from ferryline.operators.typed import Route
@@ -61,7 +61,7 @@ def line_records(stream: DataFrame, names: Sequence[str] = INGEST_FIELDS) -> Dat
 
 def change_records(stream: DataFrame, schema: T.StructType = CHANGE_SCHEMA) -> DataFrame:
     """Topic rows -> fields of ``payload.after`` (route transform)."""
-    return unwrap_after(decode_messages(stream, keep=()), schema)
+    return unwrap_after_in_arrow(decode_messages(stream, keep=()), schema)
 
 
 def ingest_lines(
