@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ferryline.operators.typed import Route
+from ferryline.operators.typed import Route, typed_select
 from ferryline.sinks.tables import TableSink
 
 STAGE_SLOTS = 2
@@ -22,7 +22,8 @@ def fan_out(
 
     The batch is first narrowed to the fields the routes use (so the JSON
     parse upstream is pruned to them). With more than one route it is then
-    shared, so the source is read and parsed once rather than once per sink:
+    shared, so the source is read and parsed once rather than once per sink;
+    where the routes agree on every field's type, each is cast once, too:
 
     * ``stage_dir`` given (a folder under the shared root): the narrowed
       batch is written there once as Parquet and every route reads that
@@ -40,10 +41,12 @@ def fan_out(
     for route, _ in routes:
         needed += [f for f in route.fields if f not in needed]
     shared = len(routes) > 1
+    typed = list(dict.fromkeys(column for route, _ in routes for column in route.columns))
+    cast_once = shared and bool(stage_dir or persist) and len(typed) == len(needed)
     cache = persist and shared and not stage_dir
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        narrowed = batch.select(*needed)
+        narrowed = typed_select(batch, typed) if cast_once else batch.select(*needed)
         if stage_dir and shared:
             slot = f"{stage_dir}/slot={batch_id % STAGE_SLOTS}"
             narrowed.write.mode("overwrite").parquet(slot)
@@ -53,7 +56,7 @@ def fan_out(
             narrowed = narrowed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for route, sink in routes:
-                sink.write(route.apply(narrowed), batch_id)
+                sink.write(narrowed.select(*route.fields) if cast_once else route.apply(narrowed), batch_id)
         finally:
             if cache:
                 narrowed.unpersist()

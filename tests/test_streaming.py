@@ -118,3 +118,17 @@ def test_staged_fan_out_of_an_empty_batch(spark):
     routes = [(Route("a", QUANTITATIVE_ROUTE), a), (Route("b", (("make", "string"),)), b)]
     fan_out(routes, stage_dir=fresh_dir(spark, "stage"))(empty, 0)
     assert a.read(spark).count() == 0 and b.read(spark).columns == ["make"]
+
+
+def test_staged_batch_holds_each_field_cast_once(spark):
+    """Routes that agree on every type share typed fields; others cast their own."""
+    rec = unwrap_after(spark.createDataFrame([(_envelope(i),) for i in range(5)], "value string"), CHANGE_SCHEMA)
+    for other, staged, value in (("int", "int", 3), ("string", "string", "3")):
+        a, b = (FileTableSink(fresh_dir(spark, x), query_id="q") for x in "ab")
+        routes = [(Route("a", (("total_uninjured", "int"), ("make", "string"))), a)]
+        routes += [(Route("b", (("event_id", "string"), ("total_uninjured", other))), b)]
+        stage = fresh_dir(spark, "stage")
+        fan_out(routes, stage_dir=stage)(rec, 0)
+        assert dict(spark.read.parquet(f"{stage}/slot=0").dtypes)["total_uninjured"] == staged
+        assert sorted(r.total_uninjured for r in a.read(spark).collect()) == [0, 1, 2, 3, 4]
+        assert ("3", value) in [tuple(r) for r in b.read(spark).collect()]
